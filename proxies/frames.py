@@ -1,29 +1,26 @@
 """The driver's tables shaped like clinical source and vocabulary tables, whole tables throughout.
 
 Remainders only shape values (a class, a gap, a missing value); no row is left out by one.
-``oracle.py`` states the same shapes in SQL.
+``oracle.py`` states the same shapes for the other engine.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from wardspan.functions import null_of
 from wardspan.operators import COPY, conform, tag_copies
-from wardspan.schemas import NUMERIC, SOURCE, VOCABULARY
+from wardspan.schemas import SOURCE, VOCABULARY
 
+_AMOUNT = "decimal(18,3)"
 
-def _text(prefix: str, column: str | Column) -> Column:
-    return F.concat(F.lit(prefix), F.col(column).cast("string") if isinstance(column, str) else column.cast("string"))
 
-
-def _pick(index: Column, *values: str | None) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(index: str, *values: str) -> str:
+    """The value at a position counted from 0."""
+    branches = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {index} {branches} END"
 
 
 class Clinic:
@@ -31,101 +28,80 @@ class Clinic:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._opened: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        if table not in self._opened:  # opening reads a footer
+            self._opened[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._opened[table]
 
     @cached_property
     def n_parts(self) -> int:
         return self.raw("part").count()
 
     @cached_property
-    def n_suppliers(self) -> int:
-        return self.raw("supplier").count()
+    def doctor(self) -> str:
+        """Provider of an order; a sixth of the encounters match none."""
+        n = self.raw("supplier").count()
+        return f"concat('d', o_orderkey % {n + n // 5})"
 
     # --- source tables -------------------------------------------------------------------------
 
     @property
     def patients(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return conform(
-            self.raw("customer").select(
-                _text("p", key).alias("id"),
-                F.date_add(F.lit(dt.date(1930, 1, 1)), (key * 97 % 30000).cast("int")).alias("birthdate"),
-                F.when(key % 10 == 9, None).otherwise(_pick(key % 2, "M", "f")).alias("gender"),
-                _pick(key % 5, "white", "black", "asian", "native", "White").alias("race"),
-                _pick(F.col("c_nationkey") % 3, "hispanic", "nonhispanic", None).alias("ethnicity"),
-            ),
-            SOURCE["patients"],
+        shaped = self.raw("customer").selectExpr(
+            "concat('p', c_custkey) AS id",
+            "date_add(DATE '1930-01-01', int(c_custkey * 97 % 30000)) AS birthdate",
+            "CASE WHEN c_custkey % 10 = 9 THEN NULL WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'f' END AS gender",
+            _pick("c_custkey % 5", "white", "black", "asian", "native", "White") + " AS race",
+            _pick("c_nationkey % 3", "hispanic", "nonhispanic") + " AS ethnicity",
         )
+        return conform(shaped, SOURCE["patients"])
 
     @property
     def providers(self) -> DataFrame:
-        return conform(
-            self.raw("supplier").select(
-                _text("d", "s_suppkey").alias("id"),
-                F.col("s_name").alias("name"),
-                _pick(F.col("s_suppkey") % 2, "M", "F").alias("gender"),
-                F.lit("GENERAL PRACTICE").alias("speciality"),
-            ),
-            SOURCE["providers"],
+        shaped = self.raw("supplier").selectExpr(
+            "concat('d', s_suppkey) AS id",
+            "s_name AS name",
+            _pick("s_suppkey % 2", "M", "F") + " AS gender",
+            "'GENERAL PRACTICE' AS speciality",
         )
+        return conform(shaped, SOURCE["providers"])
 
     @property
     def encounters(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        doctors = self.n_suppliers + self.n_suppliers // 5  # a sixth of the encounters match none
-        stop = F.col("o_orderdate") + F.make_dt_interval(days=(key % 120).cast("int"))
-        return conform(
-            self.raw("orders").select(
-                _text("e", key).alias("id"),
-                F.col("o_orderdate").alias("start"),
-                F.when(key % 500 == 7, None).otherwise(stop).alias("stop"),
-                _text("p", "o_custkey").alias("patient"),
-                _text("d", key % doctors).alias("provider"),
-                _text("pay", key % 26).alias("payer"),
-                _pick(
-                    F.substring("o_orderpriority", 1, 1).cast("int") - 1,
-                    "emergency",
-                    "inpatient",
-                    "ambulatory",
-                    "wellness",
-                    "outpatient",
-                ).alias("encounterclass"),
-                F.when(key % 50 == 0, "308646001").otherwise("185345009").alias("code"),
-                (key * 7 % self.n_parts).cast("string").alias("reasoncode"),
-                F.col("o_totalprice").cast(NUMERIC).alias("total_claim_cost"),
-                (key % 1000).cast(NUMERIC).alias("payer_coverage"),
-            ),
-            SOURCE["encounters"],
+        classes = ("", "emergency", "inpatient", "ambulatory", "wellness", "outpatient")
+        shaped = self.raw("orders").selectExpr(
+            "concat('e', o_orderkey) AS id",
+            "o_orderdate AS start",
+            """CASE WHEN o_orderkey % 500 <> 7
+               THEN o_orderdate + make_dt_interval(int(o_orderkey % 120)) END AS stop""",
+            "concat('p', o_custkey) AS patient",
+            f"{self.doctor} AS provider",
+            "concat('pay', o_orderkey % 26) AS payer",
+            _pick("int(substring(o_orderpriority, 1, 1))", *classes) + " AS encounterclass",
+            "CASE WHEN o_orderkey % 50 = 0 THEN '308646001' ELSE '185345009' END AS code",
+            f"string(o_orderkey * 7 % {self.n_parts}) AS reasoncode",
+            f"CAST(o_totalprice AS {_AMOUNT}) AS total_claim_cost",
+            f"CAST(o_orderkey % 1000 AS {_AMOUNT}) AS payer_coverage",
         )
+        return conform(shaped, SOURCE["encounters"])
 
     @property
     def lines(self) -> DataFrame:
         """Line items with their patient: the coded events of every kind."""
-        items = tag_copies(
-            self.raw("lineitem").select(
-                "l_orderkey",
-                "l_partkey",
-                "l_suppkey",
-                "l_linenumber",
-                "l_quantity",
-                "l_extendedprice",
-                "l_returnflag",
-                "l_shipdate",
-            )
-        )
-        orders = self.raw("orders").select("o_orderkey", "o_custkey")
-        stop = F.col("l_shipdate") + F.make_dt_interval(days=F.col("l_quantity").cast("int"))
-        return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("l_shipdate").alias("start"),
-            F.when(F.col("l_returnflag") != "N", stop).alias("stop"),
-            F.col("l_shipdate").alias("date"),
-            _text("p", "o_custkey").alias("patient"),
-            _text("e", "l_orderkey").alias("encounter"),
-            F.col("l_partkey").cast("string").alias("code"),
-            F.col("l_extendedprice").cast(NUMERIC).alias("base_cost"),
-            _text("udi", "l_suppkey").alias("udi"),
+        items = tag_copies(self.raw("lineitem").drop("l_linenumber", "l_discount", "l_tax"))
+        orders = self.raw("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+        return items.join(orders, "l_orderkey").selectExpr(
+            "l_shipdate AS start",
+            """CASE WHEN l_returnflag <> 'N'
+               THEN l_shipdate + make_dt_interval(int(l_quantity)) END AS stop""",
+            "l_shipdate AS date",
+            "concat('p', o_custkey) AS patient",
+            "concat('e', l_orderkey) AS encounter",
+            "string(l_partkey % 100) AS code",
+            f"CAST(l_extendedprice AS {_AMOUNT}) AS base_cost",
+            "concat('udi', l_suppkey) AS udi",
             COPY,
         )
 
@@ -155,83 +131,60 @@ class Clinic:
 
     @property
     def allergies(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return conform(
-            self.raw("orders").select(
-                F.col("o_orderdate").alias("start"),
-                _text("p", "o_custkey").alias("patient"),
-                _text("e", key).alias("encounter"),
-                (key * 3 % self.n_parts).cast("string").alias("code"),
-            ),
-            SOURCE["allergies"],
+        shaped = self.raw("orders").selectExpr(
+            "o_orderdate AS start",
+            "concat('p', o_custkey) AS patient",
+            "concat('e', o_orderkey) AS encounter",
+            f"string(o_orderkey * 3 % {self.n_parts}) AS code",
         )
+        return conform(shaped, SOURCE["allergies"])
 
     @property
     def observations(self) -> DataFrame:
-        key = F.col("event_id")
-        value = (
-            F.when(key % 5 == 0, F.col("value").cast(NUMERIC).cast("string"))
-            .when(key % 5 == 1, "-5")
-            .when(key % 5 == 2, F.col("props"))
-            .when(key % 5 == 3, ".5")
-            .otherwise(_text("mv", key % 8))
-        )
-        return conform(
-            self.raw("events").select(
-                F.col("ts").alias("date"),
-                _text("p", "user_id").alias("patient"),
-                _text("e", key).alias("encounter"),
-                (key % 50 * 4 + 2).cast("string").alias("code"),
-                value.alias("value"),
-                _text("unit", key % 30).alias("units"),
-            ),
-            SOURCE["observations"],
+        shaped = self.raw("events").selectExpr(
+            "ts AS date",
+            "concat('p', user_id) AS patient",
+            "concat('e', event_id) AS encounter",
+            "string(event_id % 50 * 4 + 2) AS code",
+            f"""CASE event_id % 5 WHEN 0 THEN string(CAST(value AS {_AMOUNT})) WHEN 1 THEN '-5'
+                WHEN 2 THEN props WHEN 3 THEN '.5' ELSE concat('mv', event_id % 8) END AS value""",
+            "concat('unit', event_id % 30) AS units",
         )
+        return conform(shaped, SOURCE["observations"])
 
     @property
     def payers(self) -> DataFrame:
-        return conform(
-            self.raw("nation").select(
-                _text("pay", "n_nationkey").alias("id"), F.col("n_name").alias("name")
-            ),
-            SOURCE["payers"],
-        )
+        shaped = self.raw("nation").selectExpr("concat('pay', n_nationkey) AS id", "n_name AS name")
+        return conform(shaped, SOURCE["payers"])
 
     @property
     def payer_transitions(self) -> DataFrame:
         """Three plan spans per customer; those of every third customer overlap."""
-        key = F.col("c_custkey")
-        spans = self.raw("customer").select(
-            "c_custkey", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("i")
-        )
-        first = F.date_add(F.lit(dt.date(1995, 1, 1)), (key % 200 + F.col("i") * 800).cast("int"))
-        length = F.when(key % 3 == 0, 900).otherwise(799)
-        return conform(
-            spans.select(
-                _text("p", key).alias("patient"),
-                first.alias("start_year"),
-                F.date_add(first, length).alias("end_year"),
-                _text("pay", (key + F.col("i")) % 26).alias("payer"),
-            ),
-            SOURCE["payer_transitions"],
+        spans = self.raw("customer").selectExpr("c_custkey", "explode(array(0, 1, 2)) AS i")
+        first = "date_add(DATE '1995-01-01', int(c_custkey % 200 + i * 800))"
+        shaped = spans.selectExpr(
+            "concat('p', c_custkey) AS patient",
+            f"{first} AS start_year",
+            f"date_add({first}, CASE WHEN c_custkey % 3 = 0 THEN 900 ELSE 799 END) AS end_year",
+            "concat('pay', (c_custkey + i) % 26) AS payer",
         )
+        return conform(shaped, SOURCE["payer_transitions"])
 
     @property
     def _claim_lines(self) -> DataFrame:
-        doctors = self.n_suppliers + self.n_suppliers // 5
         orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        items = self.raw("lineitem")
-        return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("claim"),
-            _text("p", "o_custkey").alias("patientid"),
-            _text("e", "o_orderkey").alias("appointmentid"),
-            _text("d", F.col("o_orderkey") % doctors).alias("providerid"),
-            _text("pay", F.col("o_orderkey") % 26).alias("primarypatientinsuranceid"),
-            F.col("l_partkey").cast("string").alias("diagnosis1"),
-            F.col("l_shipdate").alias("currentillnessdate"),
-            F.col("o_orderdate").alias("servicedate"),
-            F.col("l_extendedprice").cast(NUMERIC).alias("charged"),
-            F.col("l_quantity").cast(NUMERIC).alias("shared"),
+        items = self.raw("lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+        return items.join(orders, "o_orderkey").selectExpr(
+            "concat_ws('-', o_orderkey, l_linenumber, l_partkey, l_suppkey) AS claim",
+            "concat('p', o_custkey) AS patientid",
+            "concat('e', o_orderkey) AS appointmentid",
+            f"{self.doctor} AS providerid",
+            "concat('pay', o_orderkey % 26) AS primarypatientinsuranceid",
+            "string(l_partkey % 100) AS diagnosis1",
+            "l_shipdate AS currentillnessdate",
+            "o_orderdate AS servicedate",
+            f"CAST(l_extendedprice AS {_AMOUNT}) AS charged",
+            f"CAST(l_quantity AS {_AMOUNT}) AS shared",
         )
 
     @property
@@ -241,89 +194,68 @@ class Clinic:
     @property
     def claims_transactions(self) -> DataFrame:
         """One payment by the payer, one by the patient and one of another kind per claim line."""
-        paid = F.array(
-            F.struct(F.lit("1").alias("transfertype"), F.col("charged").alias("amount")),
-            F.struct(F.lit("p").alias("transfertype"), F.col("shared").alias("amount")),
-            F.struct(F.lit("t").alias("transfertype"), F.col("charged").alias("amount")),
+        rows = self._claim_lines.withColumnRenamed("claim", "claimid").selectExpr(
+            "*", "stack(3, '1', charged, 'p', shared, 't', charged) AS (transfertype, amount)"
         )
-        rows = self._claim_lines.withColumnRenamed("claim", "claimid")
-        return conform(rows.select("*", F.inline(paid)), SOURCE["claims_transactions"])
+        return conform(rows, SOURCE["claims_transactions"])
 
     # --- vocabulary tables ---------------------------------------------------------------------
 
+    def _dated(self, df: DataFrame, table: str) -> DataFrame:
+        dated = df.selectExpr(
+            "*", "DATE '1970-01-01' AS valid_start_date", "DATE '2099-12-31' AS valid_end_date"
+        )
+        return conform(dated, VOCABULARY[table])
+
     @property
     def concept(self) -> DataFrame:
-        key = F.col("p_partkey")
-        fourth = F.floor(key / 4)
-        drug = F.lit("Drug")
-        snomed = _pick(fourth % 5, "Condition", "Procedure", "Device", "Observation", "Measurement")
-        loinc = _pick(fourth % 2, "Observation", "Measurement")
-        parts = self.raw("part").select(
-            key.alias("concept_id"),
-            F.col("p_name").alias("concept_name"),
-            F.when(key % 4 == 0, snomed).when(key % 4 == 2, loinc).otherwise(drug).alias("domain_id"),
-            _pick(key % 4, "SNOMED", "RxNorm", "LOINC", "CVX").alias("vocabulary_id"),
-            F.when(key % 40 == 1, "Ingredient").otherwise("Clinical").alias("concept_class_id"),
-            F.when(F.col("p_size") % 3 != 0, "S").alias("standard_concept"),
-            key.cast("string").alias("concept_code"),
-            F.when(F.col("p_size") == 50, "D").alias("invalid_reason"),
+        snomed = _pick("p_partkey div 4 % 5", "Condition", "Procedure", "Device", "Observation", "Measurement")
+        loinc = _pick("p_partkey div 4 % 2", "Observation", "Measurement")
+        parts = self.raw("part").selectExpr(
+            "p_partkey AS concept_id",
+            "p_name AS concept_name",
+            f"CASE p_partkey % 4 WHEN 0 THEN {snomed} WHEN 2 THEN {loinc} ELSE 'Drug' END AS domain_id",
+            _pick("p_partkey % 4", "SNOMED", "RxNorm", "LOINC", "CVX") + " AS vocabulary_id",
+            "CASE WHEN p_partkey % 40 = 1 THEN 'Ingredient' ELSE 'Clinical' END AS concept_class_id",
+            "CASE WHEN p_size % 3 <> 0 THEN 'S' END AS standard_concept",
+            "string(p_partkey) AS concept_code",
+            "CASE WHEN p_size = 50 THEN 'D' END AS invalid_reason",
         )
 
-        def extra(table: str, column: str, base: int, name: str, prefix: str, domain: str, vocabulary: str):
-            return self.raw(table).select(
-                (F.col(column) + base).alias("concept_id"),
-                F.col(name).alias("concept_name"),
-                F.lit(domain).alias("domain_id"),
-                F.lit(vocabulary).alias("vocabulary_id"),
-                F.lit("Value").alias("concept_class_id"),
-                F.lit("S").alias("standard_concept"),
-                _text(prefix, column).alias("concept_code"),
-                null_of("string").alias("invalid_reason"),
+        def extra(table: str, key: str, base: int, name: str, prefix: str, domain: str, vocabulary: str):
+            return self.raw(table).selectExpr(
+                f"{key} + {base} AS concept_id",
+                f"{name} AS concept_name",
+                f"'{domain}' AS domain_id",
+                f"'{vocabulary}' AS vocabulary_id",
+                "'Value' AS concept_class_id",
+                "'S' AS standard_concept",
+                f"concat('{prefix}', {key}) AS concept_code",
+                "string(NULL) AS invalid_reason",
             )
 
         units = extra("nation", "n_nationkey", 100_000_000, "n_name", "unit", "Unit", "UCUM")
         values = extra("region", "r_regionkey", 200_000_000, "r_name", "mv", "Meas value", "SNOMED")
         return self._dated(parts.unionByName(units).unionByName(values), "concept")
 
-    def _dated(self, df: DataFrame, table: str) -> DataFrame:
-        return conform(
-            df.withColumn("valid_start_date", F.lit(dt.date(1970, 1, 1))).withColumn(
-                "valid_end_date", F.lit(dt.date(2099, 12, 31))
-            ),
-            VOCABULARY[table],
-        )
-
     @property
     def concept_relationship(self) -> DataFrame:
-        key, size = F.col("p_partkey"), F.col("p_size")
-        links = F.array(
-            F.struct(
-                F.when(size % 3 != 0, key).otherwise(key + 20).alias("concept_id_2"),
-                _pick(key % 2, "Maps to", "MAPS TO").alias("relationship_id"),
-            ),
-            F.struct(
-                F.when(size % 7 == 0, key + 40).alias("concept_id_2"),
-                F.lit("Maps to").alias("relationship_id"),
-            ),
-            F.struct(key.alias("concept_id_2"), F.lit("Is a").alias("relationship_id")),
-        )
-        parts = (
-            self.raw("part")
-            .select(
-                key.alias("concept_id_1"),
-                F.when(size % 11 == 0, "D").alias("invalid_reason"),
-                F.inline(links),
-            )
-            .filter(F.col("concept_id_2").isNotNull())
-        )
-
-        def itself(table: str, column: str, base: int) -> DataFrame:
-            number = F.col(column) + base
-            return self.raw(table).select(
-                number.alias("concept_id_1"),
-                number.alias("concept_id_2"),
-                F.lit("Maps to").alias("relationship_id"),
-                null_of("string").alias("invalid_reason"),
+        parts = self.raw("part").selectExpr(
+            "p_partkey AS concept_id_1",
+            "CASE WHEN p_size % 11 = 0 THEN 'D' END AS invalid_reason",
+            """stack(3,
+               CASE WHEN p_size % 3 <> 0 THEN p_partkey ELSE p_partkey + 20 END,
+               CASE WHEN p_partkey % 2 = 0 THEN 'Maps to' ELSE 'MAPS TO' END,
+               CASE WHEN p_size % 7 = 0 THEN p_partkey + 40 END, 'Maps to',
+               p_partkey, 'Is a') AS (concept_id_2, relationship_id)""",
+        ).filter("concept_id_2 IS NOT NULL")
+
+        def itself(table: str, key: str, base: int) -> DataFrame:
+            return self.raw(table).selectExpr(
+                f"{key} + {base} AS concept_id_1",
+                "string(NULL) AS invalid_reason",
+                f"{key} + {base} AS concept_id_2",
+                "'Maps to' AS relationship_id",
             )
 
         own = itself("nation", "n_nationkey", 100_000_000).unionByName(
@@ -333,49 +265,39 @@ class Clinic:
 
     @property
     def source_to_concept_map(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self._dated(
-            self.raw("supplier").select(
-                (key * 3).cast("string").alias("source_code"),
-                F.when(key % 2 == 0, 0).otherwise(key * 3).alias("source_concept_id"),
-                F.lit("SNOMED").alias("source_vocabulary_id"),
-                F.col("s_name").alias("source_code_description"),
-                (key * 4).alias("target_concept_id"),
-                F.lit("SNOMED").alias("target_vocabulary_id"),
-                F.when(key % 5 == 0, "D").alias("invalid_reason"),
-            ),
-            "source_to_concept_map",
+        shaped = self.raw("supplier").selectExpr(
+            "string(s_suppkey * 3) AS source_code",
+            "CASE WHEN s_suppkey % 2 = 0 THEN 0 ELSE s_suppkey * 3 END AS source_concept_id",
+            "'SNOMED' AS source_vocabulary_id",
+            "s_name AS source_code_description",
+            "s_suppkey * 4 AS target_concept_id",
+            "'SNOMED' AS target_vocabulary_id",
+            "CASE WHEN s_suppkey % 5 = 0 THEN 'D' END AS invalid_reason",
         )
+        return self._dated(shaped, "source_to_concept_map")
 
     @property
     def concept_ancestor(self) -> DataFrame:
         """Clinical drugs under the ingredient that opens their block of forty, some also under the
         next one, and other concepts under themselves."""
-        key, size = F.col("p_partkey"), F.col("p_size")
-        opening = key - key % 40 + 1
-        up = F.array(
-            F.when(key % 4 == 1, opening).otherwise(key),
-            F.when((key % 4 == 1) & (size % 5 == 0), opening + 40),
-        )
-        return conform(
-            self.raw("part")
-            .select(key.alias("descendant_concept_id"), F.explode(up).alias("ancestor_concept_id"))
-            .filter(F.col("ancestor_concept_id").isNotNull())
-            .withColumn("min_levels_of_separation", F.lit(1))
-            .withColumn("max_levels_of_separation", F.lit(1)),
-            VOCABULARY["concept_ancestor"],
+        shaped = self.raw("part").selectExpr(
+            "p_partkey AS descendant_concept_id",
+            """explode(array_compact(array(
+               CASE WHEN p_partkey % 4 = 1 THEN p_partkey - p_partkey % 40 + 1 ELSE p_partkey END,
+               CASE WHEN p_partkey % 4 = 1 AND p_size % 5 = 0 THEN p_partkey - p_partkey % 40 + 41 END
+               ))) AS ancestor_concept_id""",
+            "1 AS min_levels_of_separation",
         )
+        levels = shaped.selectExpr("*", "min_levels_of_separation AS max_levels_of_separation")
+        return conform(levels, VOCABULARY["concept_ancestor"])
 
     @property
     def vocabulary(self) -> DataFrame:
-        key = F.col("r_regionkey")
-        return conform(
-            self.raw("region").select(
-                F.when(key == 0, "None").otherwise(F.col("r_name")).alias("vocabulary_id"),
-                F.col("r_name").alias("vocabulary_name"),
-                F.lit("made for tests").alias("vocabulary_reference"),
-                F.concat(F.lit("v5.0 "), "r_name").alias("vocabulary_version"),
-                key.alias("vocabulary_concept_id"),
-            ),
-            VOCABULARY["vocabulary"],
+        shaped = self.raw("region").selectExpr(
+            "CASE WHEN r_regionkey = 0 THEN 'None' ELSE r_name END AS vocabulary_id",
+            "r_name AS vocabulary_name",
+            "'made for tests' AS vocabulary_reference",
+            "concat('v5.0 ', r_name) AS vocabulary_version",
+            "r_regionkey AS vocabulary_concept_id",
         )
+        return conform(shaped, VOCABULARY["vocabulary"])

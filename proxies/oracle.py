@@ -85,7 +85,7 @@ FROM orders"""
 _DEF["x_lines"] = """
 SELECT l_shipdate AS at, CAST(l_shipdate AS DATE) AS at_day,
   CASE WHEN l_returnflag <> 'N' THEN l_shipdate + to_days(CAST(l_quantity AS INTEGER)) END AS stop,
-  'p' || o_custkey AS patient, 'e' || l_orderkey AS encounter, CAST(l_partkey AS VARCHAR) AS code,
+  'p' || o_custkey AS patient, 'e' || l_orderkey AS encounter, CAST(l_partkey % 100 AS VARCHAR) AS code,
   CAST(l_extendedprice AS DECIMAL(18,3)) AS base_cost, 'udi' || l_suppkey AS udi
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
@@ -111,7 +111,7 @@ FROM customer CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2) A
 _DEF["x_claims"] = f"""
 SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS claim,
   'p' || o_custkey AS patient, 'e' || o_orderkey AS encounter, 'd' || {_DOCTOR} AS provider,
-  'pay' || (o_orderkey % 26) AS payer, CAST(l_partkey AS VARCHAR) AS code, l_shipdate AS onset,
+  'pay' || (o_orderkey % 26) AS payer, CAST(l_partkey % 100 AS VARCHAR) AS code, l_shipdate AS onset,
   o_orderdate AS served, CAST(l_extendedprice AS DECIMAL(18,3)) AS charged,
   CAST(l_quantity AS DECIMAL(18,3)) AS shared
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""

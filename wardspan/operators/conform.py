@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Missing columns become NULL, extra ones are left out."""
     present = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()})"
+            f" AS `{f.name}`"
             for f in schema.fields
         ]
     )

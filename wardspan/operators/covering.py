@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardspan.functions import day_number
@@ -68,70 +68,67 @@ def earliest_cover(
 
     No pairs are formed. Among the spans of a key in order of start, only those reaching beyond all
     before them can be the first to contain a point, and each of them only after that reach; cut to
-    these stretches the spans are disjoint. They are laid out by day, at most one piece per stretch
-    and one more per day, and one ordered pass per (key, day) finds the last piece begun.
+    these stretches the spans of a kind are disjoint, and the last stretch begun decides. It is
+    looked up among the rows of the same key and day, or carried in from one summary row per day.
     """
     valid = spans.filter(F.col("span_end") >= F.col("span_start"))
     reach = highest_before(valid, [key, "kind"], "span_start", "span_id", "span_end", "_reach")
-    last_point = points.agg(F.max(at)).first()[0]
     # A stretch opened by the reach of an earlier span begins just after that moment.
     late = F.coalesce(F.col("_reach") >= F.col("span_start"), F.lit(False))
-    stretches = (
-        reach.filter(F.col("_reach").isNull() | (F.col("span_end") > F.col("_reach")))
-        .select(
-            key,
-            "kind",
-            F.struct("span_id", "span_start").alias("_span"),
-            F.greatest("span_start", "_reach").alias("_from"),
-            F.least("span_end", F.lit(last_point).cast("timestamp_ntz")).alias("_to"),
-            late.alias("_late"),
-        )
-        .filter(F.col("_from") <= F.col("_to"))
-    )
-    first_day = F.col("_from").cast("date")
-    pieces = stretches.withColumn(
-        "_day", F.explode(F.sequence(first_day, F.col("_to").cast("date")))
-    ).select(
+    begun = reach.filter(F.col("_reach").isNull() | (F.col("span_end") > F.col("_reach"))).select(
         key,
         "kind",
-        "_span",
-        "_to",
-        "_day",
-        F.greatest(F.col("_from"), F.col("_day").cast("timestamp_ntz")).alias("_time"),
-        F.when(F.col("_late") & (F.col("_day") == first_day), 2).otherwise(0).alias("_rank"),
+        F.struct("span_id", "span_start").alias("_span"),
+        F.col("span_end").alias("_to"),
+        F.greatest("span_start", "_reach").alias("_time"),
+        F.when(late, 2).otherwise(0).alias("_rank"),
     )
     if exact_kinds:
-        begun = valid.filter(F.col("kind").isin(*exact_kinds)).groupBy(key, "kind", "span_start")
-        exact = begun.agg(F.min("span_id").alias("span_id")).select(
-            key,
-            F.concat("kind", F.lit("_exact")).alias("kind"),
-            F.struct("span_id", "span_start").alias("_span"),
-            F.col("span_start").alias("_to"),
-            F.col("span_start").cast("date").alias("_day"),
-            F.col("span_start").alias("_time"),
-            F.lit(0).alias("_rank"),
+        same_start = valid.filter(F.col("kind").isin(*exact_kinds)).groupBy(key, "kind", "span_start")
+        begun = begun.unionByName(
+            same_start.agg(F.min("span_id").alias("span_id")).select(
+                key,
+                F.concat("kind", F.lit("_exact")).alias("kind"),
+                F.struct("span_id", "span_start").alias("_span"),
+                F.col("span_start").alias("_to"),
+                F.col("span_start").alias("_time"),
+                F.lit(0).alias("_rank"),
+            )
         )
-        pieces = pieces.unionByName(exact)
     asked = points.select(
-        key,
-        F.col(at).cast("date").alias("_day"),
-        F.col(at).alias("_time"),
-        F.lit(1).alias("_rank"),
-        F.struct("*").alias("_point"),
+        key, F.col(at).alias("_time"), F.lit(1).alias("_rank"), F.struct("*").alias("_point")
     )
-    passed = Window.partitionBy(key, "_day").orderBy("_time", "_rank").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    moments = asked.unionByName(begun, allowMissingColumns=True).withColumn(
+        "_day", F.col("_time").cast("date")
     )
     names = [*kinds, *[f"{k}_exact" for k in exact_kinds]]
-    found = [
-        F.last(F.when(F.col("kind") == n, F.struct("_span", "_to")), ignorenulls=True)
-        .over(passed)
-        .alias(n)
-        for n in names
-    ]
-    return (
-        asked.unionByName(pieces, allowMissingColumns=True)
-        .select("_point", "_time", *found)
-        .filter(F.col("_point").isNotNull())
-        .select("_point.*", *[F.when(F.col(f"{n}._to") >= F.col("_time"), F.col(f"{n}._span")).alias(n) for n in names])
+    until = Window.unboundedPreceding
+    within = Window.partitionBy(key, "_day").orderBy("_time", "_rank").rowsBetween(until, 0)
+    across = Window.partitionBy(key).orderBy("_day").rowsBetween(until, -1)
+
+    def of_kind(name: str, value: Column) -> Column:
+        return F.when(F.col("kind") == name, value)
+
+    stretch, moment = F.struct("_span", "_to"), F.struct("_time", "_rank")
+    daily = moments.groupBy(key, "_day").agg(
+        *[F.max_by(of_kind(n, stretch), of_kind(n, moment)).alias(n) for n in names]
+    )
+    carried = daily.select(
+        key, "_day", *[F.last(n, ignorenulls=True).over(across).alias(f"_before_{n}") for n in names]
+    )
+    found = moments.select(
+        key,
+        "_day",
+        "_point",
+        "_time",
+        *[
+            F.last(of_kind(n, stretch), ignorenulls=True).over(within).alias(f"_today_{n}")
+            for n in names
+        ],
+    ).filter(F.col("_point").isNotNull())
+    both = found.join(carried, [key, "_day"], "left")
+    latest = {n: F.coalesce(f"_today_{n}", f"_before_{n}") for n in names}
+    return both.withColumns(latest).select(
+        "_point.*",
+        *[F.when(F.col(f"{n}._to") >= F.col("_time"), F.col(f"{n}._span")).alias(n) for n in names],
     )

@@ -31,34 +31,38 @@ _TARGET_SIDE = {
 MAP_COLUMNS = [*_SOURCE_SIDE, *_TARGET_SIDE]
 
 
+def _named(side: dict[str, str]) -> list[str]:
+    return [f"{column} AS {name}" for name, column in side.items()]
+
+
 def _custom(concept: DataFrame, custom_map: DataFrame) -> DataFrame:
     """Valid rows of the custom map, completed from the concepts they name where those exist.
 
     The source's domain and validity come from the source concept, its class from the target.
     """
-    origin = concept.select(
-        F.col("concept_id").alias("_origin"),
-        F.col("domain_id").alias("source_domain_id"),
-        F.col("valid_start_date").alias("source_valid_start_date"),
-        F.col("valid_end_date").alias("source_valid_end_date"),
+    origin = concept.selectExpr(
+        "concept_id AS _origin",
+        "domain_id AS source_domain_id",
+        "valid_start_date AS source_valid_start_date",
+        "valid_end_date AS source_valid_end_date",
     )
-    goal = concept.select(
-        F.col("concept_id").alias("_goal"),
-        F.col("concept_class_id").alias("source_concept_class_id"),
-        F.col("concept_name").alias("target_concept_name"),
-        F.col("domain_id").alias("target_domain_id"),
-        F.col("concept_class_id").alias("target_concept_class_id"),
-        F.col("invalid_reason").alias("target_invalid_reason"),
-        F.col("standard_concept").alias("target_standard_concept"),
+    goal = concept.selectExpr(
+        "concept_id AS _goal",
+        "concept_class_id AS source_concept_class_id",
+        "concept_name AS target_concept_name",
+        "domain_id AS target_domain_id",
+        "concept_class_id AS target_concept_class_id",
+        "invalid_reason AS target_invalid_reason",
+        "standard_concept AS target_standard_concept",
     )
-    rows = custom_map.filter(F.col("invalid_reason").isNull()).select(
+    rows = custom_map.filter("invalid_reason IS NULL").selectExpr(
         "source_code",
         "source_concept_id",
         "source_code_description",
         "source_vocabulary_id",
         "target_concept_id",
         "target_vocabulary_id",
-        F.col("invalid_reason").alias("source_invalid_reason"),
+        "invalid_reason AS source_invalid_reason",
     )
     return (
         rows.join(origin, F.col("source_concept_id") == F.col("_origin"), "left")
@@ -73,12 +77,10 @@ def source_to_standard(
     """Codes to the concepts they map to: valid "Maps to" links to valid targets (the source may be
     invalid), and the valid rows of the custom map, without repeats."""
     link = concept_relationship.filter(
-        F.col("invalid_reason").isNull() & (F.lower("relationship_id") == "maps to")
+        "invalid_reason IS NULL AND lower(relationship_id) = 'maps to'"
     ).select("concept_id_1", "concept_id_2")
-    source = concept.select(*[F.col(c).alias(n) for n, c in _SOURCE_SIDE.items()])
-    target = concept.filter(F.col("invalid_reason").isNull()).select(
-        *[F.col(c).alias(n) for n, c in _TARGET_SIDE.items()]
-    )
+    source = concept.selectExpr(*_named(_SOURCE_SIDE))
+    target = concept.filter("invalid_reason IS NULL").selectExpr(*_named(_TARGET_SIDE))
     linked = (
         link.join(source, F.col("concept_id_1") == F.col("source_concept_id"))
         .join(target, F.col("concept_id_2") == F.col("target_concept_id"))
@@ -89,9 +91,7 @@ def source_to_standard(
 
 def source_to_source(concept: DataFrame, custom_map: DataFrame) -> DataFrame:
     """Every concept, valid or not, mapped to itself, and the valid rows of the custom map."""
-    own = concept.select(
-        *[F.col(c).alias(n) for n, c in (_SOURCE_SIDE | _TARGET_SIDE).items()]
-    )
+    own = concept.selectExpr(*_named(_SOURCE_SIDE | _TARGET_SIDE))
     return own.unionByName(_custom(concept, custom_map)).distinct()
 
 

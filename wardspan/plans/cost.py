@@ -180,7 +180,8 @@ def cost(
 
     "Paid" adds the base cost to the payer's coverage.
     """
-    billed = _billed_encounters(encounters, visit_occurrence, person)
+    # Read by all four legs.
+    billed = stage(_billed_encounters(encounters, visit_occurrence, person), "billed")
 
     def events(table: DataFrame, prefix: str, date: str) -> DataFrame:
         return table.select(
