@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from wardspan.schemas import NUMERIC
 
 # Fixed value: unsigned decimals only, so "-3" and "1e5" are not numbers.
-PLAIN_NUMBER = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
+PLAIN_NUMBER = r"^([0-9]+\.?[0-9]*|\.[0-9]+)\z"
 
 
 def case_map(column: Column, mapping: Mapping[str, object], default: object = None) -> Column:
