@@ -70,6 +70,8 @@ def earliest_cover(
     before them can be the first to contain a point, and each of them only after that reach; cut to
     these stretches the spans of a kind are disjoint, and the last stretch begun decides. It is
     looked up among the rows of the same key and day, or carried in from one summary row per day.
+    Each moment of a key is looked up once and joined to its points, so copies of a point cost
+    nothing; spans that differ only in their id should be reduced to the smallest one before.
     """
     valid = spans.filter(F.col("span_end") >= F.col("span_start"))
     reach = highest_before(valid, [key, "kind"], "span_start", "span_id", "span_end", "_reach")
@@ -95,8 +97,10 @@ def earliest_cover(
                 F.lit(0).alias("_rank"),
             )
         )
-    asked = points.select(
-        key, F.col(at).alias("_time"), F.lit(1).alias("_rank"), F.struct("*").alias("_point")
+    asked = (
+        points.select(key, F.col(at).alias("_time"))
+        .distinct()
+        .withColumns({"_rank": F.lit(1), "_asked": F.lit(True)})
     )
     moments = asked.unionByName(begun, allowMissingColumns=True).withColumn(
         "_day", F.col("_time").cast("date")
@@ -119,16 +123,18 @@ def earliest_cover(
     found = moments.select(
         key,
         "_day",
-        "_point",
+        "_asked",
         "_time",
         *[
             F.last(of_kind(n, stretch), ignorenulls=True).over(within).alias(f"_today_{n}")
             for n in names
         ],
-    ).filter(F.col("_point").isNotNull())
+    ).filter("_asked")
     both = found.join(carried, [key, "_day"], "left")
     latest = {n: F.coalesce(f"_today_{n}", f"_before_{n}") for n in names}
-    return both.withColumns(latest).select(
-        "_point.*",
+    answers = both.withColumns(latest).select(
+        key,
+        F.col("_time").alias(at),
         *[F.when(F.col(f"{n}._to") >= F.col("_time"), F.col(f"{n}._span")).alias(n) for n in names],
     )
+    return points.join(answers, [key, at], "left").select(*points.columns, *names)
