@@ -862,6 +862,29 @@ FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_or
   count(*) FILTER (WHERE stop IS NULL) AS open_end, count(*) FILTER (WHERE stop < start) AS inverted FROM x_encounters""",
     "repeated_deaths": """SELECT person_id, count(*) AS death_rows FROM x_death GROUP BY person_id
 HAVING count(*) > 1""",
+    "quality_report": " UNION ALL ".join(
+        [
+            *[
+                f"SELECT 'missing' AS check_name, '{t}' AS table_name, '{f.name}' AS column_name,"
+                f" count(*) FILTER (WHERE {f.name} IS NULL) AS row_count FROM {source}"
+                for t, source in (("person", "x_person"), ("death", "x_death"))
+                for f in CDM[t].fields
+                if not f.nullable
+            ],
+            *[
+                f"SELECT 'surplus', '{t}', 'id', count(*) - count(DISTINCT id) FROM x_{t}"
+                for t in ("encounters", "patients")
+            ],
+            "SELECT 'inverted', 'encounters', 'stop', count(*) FILTER (WHERE stop < start) FROM x_encounters",
+            "SELECT 'inverted', 'conditions', 'stop', count(*) FILTER (WHERE stop < x_lines.at) FROM x_lines",
+            *[
+                f"SELECT 'unmapped', '{t}', 'code', count(*) FROM {facts} WHERE code NOT IN (SELECT code FROM x_map)"
+                for t, facts in (("conditions", "x_lines"), ("observations", "x_observations"))
+            ],
+            """SELECT 'repeated', 'death', 'person_id', count(*) FROM (SELECT person_id FROM x_death
+  GROUP BY person_id HAVING count(*) > 1) again""",
+        ]
+    ),
     "exposures_by_concept": """SELECT drug_exposure_id, person_id, drug_concept_id, drug_exposure_start_date FROM x_drug
 WHERE drug_concept_id IN (SELECT concept_id FROM x_concept WHERE concept_class_id = 'Ingredient')""",
     "read_source": _fit(

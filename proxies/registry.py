@@ -31,6 +31,7 @@ from wardspan.operators import (
 )
 from wardspan.plans import cost as costs
 from wardspan.plans import eras, events, people, visits
+from wardspan.plans.quality import quality_report
 from wardspan.plans.etl import Build, build_tables
 from wardspan.runtime import scratch_root, stage
 from wardspan.schemas import CDM, SOURCE
@@ -270,6 +271,12 @@ def _write_cdm(c: Chart) -> DataFrame:
     return c.spark.read.schema(CDM["person"]).parquet(f"{folder}/person.parquet")
 
 
+def _quality(c: Chart) -> DataFrame:
+    source = {t: getattr(c, t) for t in ("encounters", "patients", "conditions", "observations")}
+    done = {"person": c.person, "death": stage(c.death, "death")}
+    return quality_report(source, c.standard, done)
+
+
 def _by_concept(c: Chart) -> DataFrame:
     """Exposures to the concepts of one class."""
     wanted = c.concept.filter(F.col("concept_class_id") == "Ingredient").select(
@@ -353,6 +360,7 @@ QUERIES: dict[str, Callable[[Chart], DataFrame]] = {
     "unique_report": lambda c: check_unique(c.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     "interval_report": lambda c: interval_problems(c.encounters, "start", "stop"),
     "repeated_deaths": lambda c: repeated_deaths(c.death),
+    "quality_report": _quality,
     "exposures_by_concept": _by_concept,
     "read_source": _round_trip,
     "read_vocabulary": _vocabulary_text,

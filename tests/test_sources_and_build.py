@@ -121,9 +121,10 @@ def test_whole_build_from_files(spark, tmp_path):
         written = spark.read.parquet(f"{out}/{t}.parquet").schema
         assert [(f.name, f.dataType) for f in written] == [(f.name, f.dataType) for f in schema]
 
-    again = etl.run_etl(
-        spark, source, bundle, out, DESCRIBE, DAY, steps=["vocabulary_maps", "visit_rollup", "person", "provider", "encounter_context", "visit_occurrence"]
-    )
+    with pytest.raises(FileExistsError):
+        etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY)
+    some = ["vocabulary_maps", "visit_rollup", "person", "provider", "visit_occurrence"]
+    again = etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY, steps=some, overwrite=True)
     assert all(r.ok for r in again)
     assert rows(read_cdm(spark, out, "visit_occurrence")) == first["visit_occurrence"]
 

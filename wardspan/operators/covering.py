@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardspan.functions import day_number
 from wardspan.operators.scans import highest_before
+from wardspan.runtime import stage
 
 _BUCKET = "_bucket"
 
@@ -102,9 +103,9 @@ def earliest_cover(
         .distinct()
         .withColumns({"_rank": F.lit(1), "_asked": F.lit(True)})
     )
-    moments = asked.unionByName(begun, allowMissingColumns=True).withColumn(
-        "_day", F.col("_time").cast("date")
-    )
+    together = asked.unionByName(begun, allowMissingColumns=True)
+    # Read by the pass inside the days and by the summary of each day.
+    moments = stage(together.withColumn("_day", F.col("_time").cast("date")), "moments")
     names = [*kinds, *[f"{k}_exact" for k in exact_kinds]]
     until = Window.unboundedPreceding
     within = Window.partitionBy(key, "_day").orderBy("_time", "_rank").rowsBetween(until, 0)

@@ -15,7 +15,13 @@ from wardspan.plans import eras, events, people, visits
 from wardspan.plans.codes import CLASSES, VisitClasses
 from wardspan.runtime import scratch_run, stage
 from wardspan.schemas import CDM
-from wardspan.sources.tables import read_cdm, read_sources, read_vocabulary, write_table
+from wardspan.sources.tables import (
+    check_free,
+    read_cdm,
+    read_sources,
+    read_vocabulary,
+    write_table,
+)
 
 # Source tables that the steps read; the other four of the export may be present or not.
 NEEDED = (
@@ -185,12 +191,16 @@ def run_etl(
     steps: Iterable[str] = tuple(STEPS),
     keep_going: bool = False,
     classes: VisitClasses = CLASSES,
+    overwrite: bool = False,
 ) -> list[StepResult]:
     """Build every CDM table from files and write it to ``out`` as Parquet.
 
     Each table is written once and read back by the steps that need it, so a lost executor costs
     only its tasks. Tables that no step fills are written empty; work tables are dropped at the end.
+    A folder that already holds something is only replaced with ``overwrite``.
     """
+    if not overwrite:
+        check_free(spark, out)
     build = Build(
         source=read_sources(spark, source_dir, NEEDED),
         vocabulary=read_vocabulary(spark, vocabulary_dir),

@@ -19,6 +19,7 @@ from wardspan.operators import (
 )
 from wardspan.plans import codes
 from wardspan.plans.codes import CLASSES, VisitClasses
+from wardspan.runtime import stage
 from wardspan.schemas import CDM
 
 _KEYS = ["patient", "encounterclass"]
@@ -223,7 +224,7 @@ def visit_occurrence(
         .join(doctors, "provider")
     )
     linked = previous_value(
-        kept,
+        stage(kept, "kept_visits"),  # read twice
         ["person_id"],
         "visit_start_date",
         "visit_occurrence_id",
