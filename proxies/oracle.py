@@ -475,7 +475,7 @@ _DEF["x_observation"] = _event(
     _order("visit_occurrence_id", "provider_id"),
 )
 
-_NUMBER = "CASE WHEN {0} NOT LIKE '%[^0-9.]%' AND regexp_full_match({0}, '([0-9]+\\.?[0-9]*|\\.[0-9]+)') THEN TRY_CAST({0} AS DECIMAL(18,3)) END"
+_NUMBER = "CASE WHEN regexp_full_match({0}, '([0-9]+\\.?[0-9]*|\\.[0-9]+)') THEN TRY_CAST({0} AS DECIMAL(18,3)) END"
 
 _DEF["x_measurement"] = _event(
     "measurement",
