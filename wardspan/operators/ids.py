@@ -32,18 +32,20 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     and shifted by the row counts of the partitions before. Ranges follow the whole order, so a key
     holding a third of the rows is spread over a third of the partitions; identical copies are
     spread through ``copy_no`` if the frame has it. Only one count per partition reaches the driver.
+
+    Not lazy: the rows are computed and staged once, then ranged and written again, when this is
+    called.
     """
     keys = [F.col(c).asc_nulls_last() for c in order]
     if COPY in df.columns:
         keys.append(F.col(COPY).asc())
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Range partitioning samples its input first; from a staged table that is a plain read.
+    ranged = stage(df, f"{name}-rows").repartitionByRange(*keys).sortWithinPartitions(*keys)
     staged = stage(ranged.withColumn(_SLOT, F.monotonically_increasing_id()).drop(COPY), name)
 
     part = F.shiftright(_SLOT, _ROW_BITS)
     position = F.col(_SLOT).bitwiseAND((1 << _ROW_BITS) - 1) + 1
     sizes = sorted(staged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
-    if len(sizes) < 2:
-        return staged.withColumn(name, position).drop(_SLOT)
     offsets, before = [], 0
     for row in sizes:
         offsets.append((row["part"], before))

@@ -44,9 +44,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _OWN_ROOT.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="wardspan-", dir="/tmp")
-        )
+        if context.applicationId not in _OWN_ROOT:
+            _OWN_ROOT[context.applicationId] = tempfile.mkdtemp(prefix="wardspan-", dir="/tmp")
+        root = _OWN_ROOT[context.applicationId]
     return f"{root.rstrip('/')}/wardspan-{context.applicationId}/{_RUN.get()}"
 
 
@@ -57,11 +57,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     real sizes for join planning.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    """A folder of the scratch area that no other call gets."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application staged. Frames that still read staged tables break, so
+    call it when their results are written."""
+    remove_folder(spark, scratch_root(spark).rpartition("/")[0])
+
+
 @contextmanager
 def scratch_run(spark: SparkSession) -> Iterator[None]:
     """Give one run its own part of the scratch area and remove that part, and nothing else, after."""
@@ -69,8 +85,7 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, scratch_root(spark))
         _RUN.reset(token)
 
 
