@@ -20,11 +20,18 @@ _WORD, _GAP = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x40\
 BROADCAST_WINDOWS = 500_000
 
 
-def _windows(words: Column, width: Column) -> Column:
-    """Hashes of all windows of ``width`` words, in order; none if there are fewer words."""
-    starts = F.sequence(F.lit(1), F.size(words) - width + 1)
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, width)))
-    return F.when(F.size(words) >= width, hashes).otherwise(F.array().cast("array<bigint>"))
+def _window_hash(word_hashes: Column, start: Column, width: int) -> Column:
+    # Single elements are read in place; a slice would copy the whole text for each window.
+    return F.xxhash64(*[F.get(word_hashes, start + k) for k in range(width)])
+
+
+def _windows(words: Column, width: int) -> tuple[Column, Column]:
+    """Hashes of the words, and of all windows of ``width`` words in order, given those."""
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    starts = F.sequence(F.lit(0), F.size("word_hashes") - width)
+    windows = F.transform(starts, lambda i: _window_hash(F.col("word_hashes"), i, width))
+    none = F.array().cast("array<bigint>")
+    return hashes, F.when(F.size("word_hashes") >= width, windows).otherwise(none)
 
 
 def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
@@ -40,9 +47,7 @@ def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
         items.select("item_id", F.explode(cut).alias("window"))
         .groupBy("window")
         .agg(F.collect_set("item_id").alias("items"))
-        .select(
-            F.xxhash64("window").alias("hash"), F.size("window").alias("width"), "window", "items"
-        )
+        .select(F.size("window").alias("width"), "window", "items")
     )
 
 
@@ -58,11 +63,19 @@ def find_hits(
     )
     found = None
     for width, count in sorted(sizes.items()):
-        grams = windows.filter(F.col("width") == width).select("hash", "window", "items")
+        hashes, cut = _windows(F.col("words"), width)
+        grams = windows.filter(F.col("width") == width).withColumn(
+            "word_hashes", F.transform("window", lambda w: F.xxhash64(w))
+        )
+        key = _window_hash(F.col("word_hashes"), F.lit(0), width)
+        grams = grams.select(key.alias("hash"), "window", "items")
         grams = F.broadcast(grams) if count <= broadcast_windows else grams
-        cut = texts.select("text_md5", "words", _windows(F.col("words"), F.lit(width)).alias("hashes"))
-        spread = cut.select("text_md5", "words", F.posexplode("hashes").alias("at", "hash"))
-        real = F.slice("words", F.col("at") + 1, F.lit(width)) == F.col("window")
+        spread = texts.withColumn("word_hashes", hashes).select(
+            "text_md5", "words", F.posexplode(cut).alias("at", "hash")
+        )
+        real = F.lit(True)
+        for k in range(width):
+            real &= F.get("words", F.col("at") + k) == F.get("window", F.lit(k))
         hits = spread.join(grams, "hash").filter(real).select(
             "text_md5", "at", F.lit(width).alias("width"), "items"
         )

@@ -102,8 +102,33 @@ SELECT id AS doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM worded LEFT JOIN hit_words USING (n) LEFT JOIN hit_items USING (n) WHERE kind = 'd'
 """
 
+# Base32 by taking five bits at a time out of the bits of the digest.
+WARC = r"""
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html,
+        sha1(coalesce(html, '')) AS digest
+    FROM pages
+), bits AS (
+    SELECT DISTINCT digest, array_to_string(list_transform(range(1, 41), lambda k:
+        lpad(bin(('0x' || digest[k])::INT), 4, '0')), '') AS b
+    FROM payloads
+), coded AS (
+    SELECT digest, array_to_string(list_transform(range(0, 32), lambda k:
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+            list_sum(list_transform(range(1, 6), lambda j: b[5 * k + j]::INT * (1 << (5 - j)::INT)))::INT + 1]), '') AS code
+    FROM bits
+), keepers AS (
+    SELECT *, max(page_id) OVER (PARTITION BY digest) AS keeper FROM payloads
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, code AS payload_digest,
+    CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM keepers JOIN coded USING (digest)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_chat_formatting": CHAT,
     "op5_source_mixing": MIXING,
     "op6_decontamination": DECONTAMINATION,
+    "op9_warc_archive": WARC,
 }

@@ -12,6 +12,9 @@ from wardspan.llm.decontamination import mark_contamination
 from wardspan.llm.mixing import mix
 from wardspan.llm.oracle import ORACLE
 from wardspan.llm.sharding import shard
+from wardspan.llm.simhash import near_duplicates
+from wardspan.llm.warc import page_digests, read_archive, write_archive
+from wardspan.runtime import fresh_folder
 
 ODD_CHAT = r"\### Assistant: </turn> ok"
 
@@ -43,6 +46,18 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates(docs, keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
+
+
+def op9_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    archive = fresh_folder(spark, "warc")
+    write_archive(pages, archive)
+    return page_digests(read_archive(spark, archive))
+
+
 def op10_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return shard(docs, keep=["doc_id"])
@@ -52,6 +67,8 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
+    "op8_simhash_duplicates": op8_simhash_duplicates,
+    "op9_warc_archive": op9_warc_archive,
     "op10_ring_sharding": op10_ring_sharding,
 }
 CORPUS_ORACLE: dict[str, str] = ORACLE
