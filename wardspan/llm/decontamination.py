@@ -14,7 +14,7 @@ from wardspan.llm.common import fresh_name, plain_words
 from wardspan.runtime import stage
 
 # The words of a text as it stands, upper case included, and what lies between them.
-_WORD, _GAP = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+_WORD, _GAP = r"[0-9A-Za-z\P{ASCII}]", r"[\p{ASCII}&&[^0-9A-Za-z]]"
 
 # Windows that may be broadcast, at about 200 bytes each. Beyond, the join is shuffled.
 BROADCAST_WINDOWS = 500_000
@@ -117,9 +117,8 @@ def mark_contamination(
     hits = hits.withColumnRenamed("text_md5", key).withColumn("items_sha256", _digest(ids)).withColumn(
         "n_items", F.size("hit_items").cast("long")
     )
-    marked = docs.withColumn(
-        "n_words", F.coalesce(F.regexp_count("text", F.lit(f"{_WORD}++")), F.lit(0)).cast("long")
-    ).withColumn(key, F.md5("text"))
+    n_words = F.size(plain_words(F.col("text"))).cast("long")
+    marked = docs.withColumn("n_words", n_words).withColumn(key, F.md5("text"))
     n_hit = F.coalesce(F.size("hit_words"), F.lit(0)).cast("long")
     return marked.join(hits.drop("hit_items"), key, "left").select(
         *docs.columns,
