@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardspan.llm.chat import chat_digest, format_chats
+from wardspan.llm.common import crc_of_id
 from wardspan.llm.decontamination import mark_contamination
+from wardspan.llm.langid import fit, identify
+from wardspan.llm.lm import score_texts
 from wardspan.llm.mixing import mix
+from wardspan.llm.neighbours import nearest
 from wardspan.llm.oracle import ORACLE
 from wardspan.llm.sharding import shard
 from wardspan.llm.simhash import near_duplicates
@@ -23,6 +27,24 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = crc_of_id("doc_id") % 5 == 0
+    model = fit(docs.filter(~held_out).select("text", "lang"))
+    scored = identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return score_texts(docs, crc_of_id("doc_id") % 10 == 0, kind=F.col("lang"), keep=["doc_id"])
+
+
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.range(2).select(
@@ -64,6 +86,9 @@ def op10_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
