@@ -102,6 +102,41 @@ SELECT id AS doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM worded LEFT JOIN hit_words USING (n) LEFT JOIN hit_items USING (n) WHERE kind = 'd'
 """
 
+# Compares the runs as strings: the lines from each place up to the 50th word.
+LINES = r"""
+WITH cut AS (
+    SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS n, doc_id, string_split(text, chr(10)) AS lines
+    FROM documents
+), lines AS (
+    SELECT n, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM cut
+), worded AS (
+    SELECT n, i, line, words, row_number() OVER (PARTITION BY n ORDER BY i) AS pos,
+        sum(words) OVER (PARTITION BY n ORDER BY i) - words AS before
+    FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines) WHERE words > 0
+), runs AS (
+    SELECT n, pos, before,
+        count(*) OVER w AS length, max(before + words) OVER w AS upto,
+        string_agg(line, chr(10)) OVER w AS run
+    FROM worded
+    WINDOW w AS (PARTITION BY n ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), later AS (
+    SELECT n, pos, length,
+        row_number() OVER (PARTITION BY run ORDER BY n, pos) > 1 AS again
+    FROM runs WHERE upto >= before + 50
+), gone AS (
+    SELECT DISTINCT n, unnest(range(pos, pos + length)) AS pos FROM later WHERE again
+), flagged AS (
+    SELECT lines.n, lines.i, line, words, gone.pos IS NOT NULL AS gone
+    FROM lines LEFT JOIN (SELECT n, i, pos, words FROM worded) w USING (n, i)
+        LEFT JOIN gone ON gone.n = lines.n AND gone.pos = w.pos
+)
+SELECT doc_id, coalesce(count(i), 0)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_deleted,
+    coalesce(sum(words) FILTER (WHERE gone), 0)::BIGINT AS deleted_words,
+    CASE WHEN any_value(lines) IS NOT NULL THEN
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) END AS text_sha256
+FROM cut LEFT JOIN flagged USING (n) GROUP BY n, doc_id
+"""
+
 # Base32 by taking five bits at a time out of the bits of the digest.
 WARC = r"""
 WITH payloads AS (
@@ -130,5 +165,6 @@ ORACLE: dict[str, str] = {
     "op4_chat_formatting": CHAT,
     "op5_source_mixing": MIXING,
     "op6_decontamination": DECONTAMINATION,
+    "op7_line_dedup": LINES,
     "op9_warc_archive": WARC,
 }

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wardspan.llm.chat import chat_digest, format_chats
 from wardspan.llm.common import crc_of_id
 from wardspan.llm.decontamination import mark_contamination
 from wardspan.llm.langid import fit, identify
+from wardspan.llm.linededup import dedup_lines
 from wardspan.llm.lm import score_texts
 from wardspan.llm.mixing import mix
 from wardspan.llm.neighbours import nearest
@@ -68,6 +70,13 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", "n_lines", "n_deleted", "deleted_words", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op8_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return near_duplicates(docs, keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
@@ -92,8 +101,12 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
+    "op7_line_dedup": op7_line_dedup,
     "op8_simhash_duplicates": op8_simhash_duplicates,
     "op9_warc_archive": op9_warc_archive,
     "op10_ring_sharding": op10_ring_sharding,
+    "pipeline": corpus_pipeline.run,
 }
-CORPUS_ORACLE: dict[str, str] = ORACLE
+CORPUS_ORACLE: dict[str, str] = ORACLE | (
+    {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+)
