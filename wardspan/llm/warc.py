@@ -151,28 +151,32 @@ def _schema() -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in _CANDIDATE.split(", "))])
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(block: int):
     """Blocks of files in order in, candidates out. A block is followed by HEAD bytes of the next
     one; payloads that go on over blocks are hashed piece by piece."""
-    schema, path, waiting = _schema(), None, []
-    for batch in batches:
-        done = []
-        for k in range(batch.num_rows):
-            name, length, start, data = (batch.column(i)[k].as_py() for i in range(4))
-            if name != path:
-                path, waiting = name, []  # what waits here was cut off at the end of its file
-            for found in MAGIC.finditer(data, 0, min(len(data), BLOCK + 10)):
-                if found.start() < BLOCK and (one := _parse(data, found.start(), start, name, length)):
-                    waiting.append(one)
-            still = []
-            for one in waiting:
-                one.sha.update(data[max(0, one.at - start) : max(0, min(BLOCK, one.end - start))])
-                if one.end <= start + min(BLOCK, len(data)):
-                    done.append(one.row | {"sha1": one.sha.hexdigest()})
-                else:
-                    still.append(one)
-            waiting = still
-        yield pa.RecordBatch.from_pylist(done, schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, path, waiting = _schema(), None, []
+        for batch in batches:
+            done = []
+            for k in range(batch.num_rows):
+                name, length, start, data = (batch.column(i)[k].as_py() for i in range(4))
+                if name != path:
+                    path, waiting = name, []  # what waits here was cut off at the end of its file
+                for found in MAGIC.finditer(data, 0, min(len(data), block + 10)):
+                    if found.start() < block and (one := _parse(data, found.start(), start, name, length)):
+                        waiting.append(one)
+                still = []
+                for one in waiting:
+                    one.sha.update(data[max(0, one.at - start) : max(0, min(block, one.end - start))])
+                    if one.end <= start + min(block, len(data)):
+                        done.append(one.row | {"sha1": one.sha.hexdigest()})
+                    else:
+                        still.append(one)
+                waiting = still
+            yield pa.RecordBatch.from_pylist(done, schema=schema)
+
+    return run
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
@@ -195,7 +199,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
         )
 
 
-def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+def read_archive(spark: SparkSession, folder: str, block: int = BLOCK) -> DataFrame:
     """All records of the WARC files in ``folder``: record_type, page_id, refers_to, url, the digest
     and size the header names, and those of the payload as it stands in the file.
 
@@ -203,10 +207,10 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     most ``HEAD`` bytes. Raises if the chain of a file does not end where the file ends.
     """
     files = spark.read.format("binaryFile").load(folder).filter("length > 0")
-    starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(BLOCK).cast("long"))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(block).cast("long"))
     blocks = files.select("path", "length", "content", F.explode(starts).alias("start"))
-    cut = F.substring(F.col("content"), (F.col("start") + 1).cast("int"), F.lit(BLOCK + HEAD))
-    found = blocks.select("path", "length", "start", cut.alias("data")).mapInArrow(_candidates, _CANDIDATE)
+    cut = F.substring(F.col("content"), (F.col("start") + 1).cast("int"), F.lit(block + HEAD))
+    found = blocks.select("path", "length", "start", cut.alias("data")).mapInArrow(_candidates(block), _CANDIDATE)
     found = stage(found, "warc-candidates")
     records = stage(found.join(reachable(found), ["path", "offset"], "left_semi"), "warc-records")
     ends = files.select("path", "length").join(
