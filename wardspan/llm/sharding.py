@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from wardspan.llm.common import HEX_DIGITS, fresh_name, hash_number
 from wardspan.operators import dense_ids
+from wardspan.runtime import stage
 
 RING = 16**HEX_DIGITS
 BUCKETS = 4096
@@ -104,13 +105,16 @@ def shard(
     ``keep`` names the columns of ``docs`` to carry through the shuffle, all by default. Columns with
     the names of the new ones are replaced. ``size`` is the UTF-8 bytes of the text plus 8; a null
     text has none and a checksum of 0. Null texts and empty texts stand at the same place. Rows of
-    one text follow by doc_id, nulls last; rows alike in all that are kept can stand for one
-    another. An empty table gives an empty table. Not lazy: the rows are numbered when this is called.
+    one text follow by doc_id, nulls last, then by a hash of the other columns; rows alike in all that
+    are kept can stand for one another. An empty table gives an empty table. Not lazy: the rows are
+    numbered when this is called.
     """
     spark = docs.sparkSession
     added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    arc, turn, place = (fresh_name(docs.select(*kept), c) for c in ("arc", "turn", "place"))
+    arc, turn, place, row = (
+        fresh_name(docs.select(*kept), c) for c in ("arc", "turn", "place", "ring_row")
+    )
     points = ring_points(shards, replicas)
     positions = [p for p, _ in points]
     width = RING // BUCKETS
@@ -136,9 +140,14 @@ def shard(
         # Counted from the last point, so that places of one arc follow each other.
         F.pmod(F.col("_position") - positions[-1] - 1, F.lit(RING)).alias(turn),
     )
-    rest = [c for c in kept if c not in ("doc_id", "text") and _can_sort(docs, c)]
-    order = [turn, *[c for c in ("doc_id",) if c in kept], "text_crc32", "size", *rest]
-    numbered = dense_ids(placed, order, place)
+    # Whole rows are written once; only what orders them is sorted and numbered.
+    rows = stage(placed.withColumn(row, F.monotonically_increasing_id()), "ring-rows")
+    rest = [c for c in kept if c not in ("doc_id", "text") and _can_hash(docs, c)]
+    narrow = rows.select(
+        row, arc, turn, F.col("doc_id" if "doc_id" in kept else "size").alias("_id"), "text_crc32", "size",
+        F.xxhash64(F.lit(0), *rest).alias("_rest"),
+    )
+    numbered = dense_ids(narrow, [turn, "_id", "text_crc32", "size", "_rest", row], place)
     counts = {r[0]: r[1] for r in numbered.groupBy(arc).count().collect()}
     room = bounds(sum(counts.values()), shards, slack)
     ranges = spark.createDataFrame(
@@ -149,16 +158,17 @@ def shard(
     found = numbered.join(
         F.broadcast(ranges), (F.col(arc) == F.col("_arc")) & at.between(F.col("_first"), F.col("_last"))
     )
-    return found.select(
+    found = found.select(row, "shard", (F.col("_slot") + at - F.col("_first")).alias("slot"))
+    return rows.join(found, row).select(
         *kept,
         "size",
         "text_crc32",
         F.lit("bounded" if slack else "rows").alias("law"),
         "shard",
-        (F.col("_slot") + at - F.col("_first")).alias("slot"),
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
-def _can_sort(docs: DataFrame, name: str) -> bool:
+def _can_hash(docs: DataFrame, name: str) -> bool:
     return docs.schema[name].dataType.simpleString().split("<")[0] not in ("map", "variant")
