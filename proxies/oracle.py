@@ -248,41 +248,33 @@ _PERIOD = _fit(
 # --- islands -------------------------------------------------------------------------------------
 
 
-def _island_ends(name: str, source: str, keys: str, gap: str) -> None:
-    """Ends of islands: moments at which, with ends moved by the gap, no interval is open.
-    ``source`` has columns lo and hi."""
+def _islands(name: str, source: str, keys: str, gap: str) -> None:
+    """Rows of ``source`` with the start and the end of their island: an island opens at a start that
+    no earlier row of the key reaches, and takes all rows up to the next such start. Rows that end
+    before they start neither open nor reach; they are in an island that covers them, or nowhere."""
+    same = " AND ".join(f"r.{k} = s.{k}" for k in keys.split(", "))
+    _DEF[f"{name}_opens"] = f"""
+SELECT DISTINCT {keys}, lo AS opening FROM {source} s WHERE hi >= lo AND NOT EXISTS (
+  SELECT 1 FROM {source} r WHERE {same} AND r.hi >= r.lo AND r.lo < s.lo AND r.hi + {gap} >= s.lo)"""
     _DEF[name] = f"""
-SELECT DISTINCT {keys}, hi AS island_end FROM (
-  SELECT {keys}, hi, sum(step) OVER (PARTITION BY {keys} ORDER BY moment, step DESC
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open_now
-  FROM (SELECT {keys}, lo AS moment, NULL AS hi, 1 AS step FROM {source}
-        UNION ALL SELECT {keys}, hi + {gap}, hi, -1 FROM {source}) moments) counted
-WHERE open_now = 0"""
-
-
-def _in_islands(source: str, ends: str, keys: list[str], aggregates: str) -> str:
-    same = " AND ".join(f"e.{k} = s.{k}" for k in keys)
-    columns = ", ".join(f"s.{k}" for k in keys)
-    plain = ", ".join(keys)
-    return f"""SELECT {plain}, {aggregates}, island_end FROM (
-  SELECT s.rid, {columns}, s.lo, s.hi, min(e.island_end) AS island_end
-  FROM {source} s JOIN {ends} e ON {same} AND e.island_end >= s.hi
-  GROUP BY s.rid, {columns}, s.lo, s.hi) placed GROUP BY {plain}, island_end"""
+SELECT * FROM (
+  SELECT s.*, r.opening, max(CASE WHEN s.hi >= s.lo THEN s.hi END)
+    OVER (PARTITION BY {", ".join(f"s.{k}" for k in keys.split(", "))}, r.opening) AS island_end
+  FROM {source} s ASOF JOIN {name}_opens r ON {same} AND s.lo >= r.opening) placed
+WHERE lo <= island_end"""
 
 
 _DEF["x_episodes"] = """
 SELECT row_number() OVER () AS rid, o_custkey, l_partkey % 5 AS family, CAST(l_shipdate AS DATE) AS lo,
-  CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS hi, CAST(l_quantity AS BIGINT) AS quantity
+  CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) - 4 AS hi, CAST(l_quantity AS BIGINT) AS quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
 def _merged(gap: int) -> str:
-    _island_ends(f"x_episode_ends{gap}", "x_episodes", "o_custkey, family", str(gap))
-    return f"""SELECT o_custkey, family, min(lo) AS "start", max(hi) AS "end", CAST(count(*) AS BIGINT) AS n,
+    _islands(f"x_episodes{gap}", "x_episodes", "o_custkey, family", str(gap))
+    return f"""SELECT o_custkey, family, opening AS "start", island_end AS "end", CAST(count(*) AS BIGINT) AS n,
   CAST(sum(quantity) AS BIGINT) AS quantity
-FROM (SELECT s.*, (SELECT min(e.island_end) FROM x_episode_ends{gap} e WHERE e.o_custkey = s.o_custkey
-        AND e.family = s.family AND e.island_end >= s.hi) AS island_end FROM x_episodes s) placed
-GROUP BY o_custkey, family, island_end"""
+FROM x_episodes{gap} GROUP BY o_custkey, family, opening, island_end"""
 
 
 # --- visits --------------------------------------------------------------------------------------
@@ -290,14 +282,12 @@ GROUP BY o_custkey, family, island_end"""
 _DEF["x_stays"] = """
 SELECT id AS rid, id, patient, encounterclass, start AS lo, coalesce(stop, TIMESTAMP '9999-01-01 00:00:00') AS hi
 FROM x_encounters WHERE encounterclass = 'inpatient'"""
-_island_ends("x_stay_ends", "x_stays", "patient", "INTERVAL 1 DAY")
+_islands("x_stay_islands", "x_stays", "patient", "INTERVAL 1 DAY")
 
 _DEF["x_ip"] = """
-SELECT min(s.id) AS encounter_id, s.patient, s.encounterclass, s.lo AS visit_start_date, e.island_end AS visit_end_date
-FROM x_stays s JOIN (SELECT t.id, min(x.island_end) AS island_end FROM x_stays t JOIN x_stay_ends x
-  ON x.patient = t.patient AND x.island_end >= t.hi GROUP BY t.id) e ON e.id = s.id
-WHERE e.island_end < TIMESTAMP '9999-01-01 00:00:00'
-GROUP BY s.patient, s.encounterclass, s.lo, e.island_end"""
+SELECT min(id) AS encounter_id, patient, encounterclass, lo AS visit_start_date, island_end AS visit_end_date
+FROM x_stay_islands WHERE island_end < TIMESTAMP '9999-01-01 00:00:00'
+GROUP BY patient, encounterclass, lo, island_end"""
 
 for _name, _classes in (("x_er", "'emergency', 'urgent'"), ("x_op", "'ambulatory', 'wellness', 'outpatient'")):
     _DEF[_name] = f"""
@@ -475,6 +465,7 @@ _DEF["x_observation"] = _event(
     _order("visit_occurrence_id", "provider_id"),
 )
 
+# Fixed value: which texts are numbers.
 _NUMBER = "CASE WHEN regexp_full_match({0}, '([0-9]+\\.?[0-9]*|\\.[0-9]+)') THEN TRY_CAST({0} AS DECIMAL(18,3)) END"
 
 _DEF["x_measurement"] = _event(
@@ -609,10 +600,10 @@ JOIN x_who w ON w.patient = e.patient WHERE e.code = '308646001'""",
 _DEF["x_ce_rows"] = """
 SELECT condition_occurrence_id AS rid, person_id, condition_concept_id AS concept, condition_start_date AS lo,
   coalesce(condition_end_date, condition_start_date + 1) AS hi FROM x_condition"""
-_island_ends("x_ce_ends", "x_ce_rows", "person_id, concept", "30")
-_DEF["x_ce"] = _in_islands(
-    "x_ce_rows", "x_ce_ends", ["person_id", "concept"], "min(lo) AS lo, count(*) AS n"
-)
+_islands("x_ce_islands", "x_ce_rows", "person_id, concept", "30")
+_DEF["x_ce"] = """
+SELECT person_id, concept, opening AS lo, island_end, count(*) AS n
+FROM x_ce_islands GROUP BY person_id, concept, opening, island_end"""
 _DEF["x_condition_era"] = _fit(
     CDM["condition_era"],
     {
@@ -631,22 +622,15 @@ SELECT drug_exposure_id AS rid, person_id, c.ancestor AS concept, drug_exposure_
   drug_exposure_end_date AS hi
 FROM x_drug JOIN x_closure c ON c.descendant = drug_concept_id
 WHERE drug_concept_id <> 0 AND days_supply >= 0"""
-_island_ends("x_de_ends0", "x_de_rows", "person_id, concept", "0")
-_DEF["x_de_sub"] = (
-    "SELECT row_number() OVER () AS rid, person_id, concept, lo, island_end AS hi, n FROM ("
-    + _in_islands("x_de_rows", "x_de_ends0", ["person_id", "concept"], "min(lo) AS lo, count(*) AS n")
-    + ") q"
-)
-_island_ends("x_de_ends30", "x_de_sub", "person_id, concept", "30")
+_islands("x_de_exposed", "x_de_rows", "person_id, concept", "0")
+_DEF["x_de_stretches"] = """
+SELECT person_id, concept, opening AS lo, island_end AS hi, count(*) AS n
+FROM x_de_exposed GROUP BY person_id, concept, opening, island_end"""
+_islands("x_de_eras", "x_de_stretches", "person_id, concept", "30")
 _DEF["x_de"] = """
-SELECT person_id, concept, min(lo) AS lo, island_end, sum(n) AS n,
-  date_diff('day', min(lo), island_end) - sum(days) AS gap
-FROM (SELECT s.rid, s.person_id, s.concept, s.lo, s.n, date_diff('day', s.lo, s.hi) AS days,
-    min(e.island_end) AS island_end
-  FROM x_de_sub s JOIN x_de_ends30 e ON e.person_id = s.person_id AND e.concept = s.concept
-    AND e.island_end >= s.hi
-  GROUP BY s.rid, s.person_id, s.concept, s.lo, s.n, s.hi) placed
-GROUP BY person_id, concept, island_end"""
+SELECT person_id, concept, opening AS lo, island_end, sum(n) AS n,
+  date_diff('day', opening, island_end) - sum(date_diff('day', lo, hi)) AS gap
+FROM x_de_eras GROUP BY person_id, concept, opening, island_end"""
 _DEF["x_drug_era"] = _fit(
     CDM["drug_era"],
     {
@@ -816,10 +800,8 @@ _DESCRIBED = _fit(
 _ANSWERS = {
     "merge_intervals_gap0": _merged(0),
     "merge_intervals_gap30": _merged(30),
-    "inpatient_islands": """
-SELECT patient, min(lo) AS "start", max(hi) AS stop, CAST(count(*) AS BIGINT) AS stays FROM (
-  SELECT s.*, (SELECT min(e.island_end) FROM x_closed_ends e WHERE e.patient = s.patient
-    AND e.island_end >= s.hi) AS island_end FROM x_closed s) placed GROUP BY patient, island_end""",
+    "inpatient_islands": """SELECT patient, opening AS "start", island_end AS "stop", count(*) AS stays
+FROM x_closed_islands GROUP BY patient, opening, island_end""",
     "dense_ids": """SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
   row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_id FROM lineitem""",
     "previous_value": """SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
@@ -924,6 +906,6 @@ WHERE drug_concept_id IN (SELECT concept_id FROM x_concept WHERE concept_class_i
 
 _DEF["x_closed"] = """SELECT patient, start AS lo, stop AS hi FROM x_encounters
 WHERE encounterclass = 'inpatient' AND stop IS NOT NULL"""
-_island_ends("x_closed_ends", "x_closed", "patient", "INTERVAL 1 DAY")
+_islands("x_closed_islands", "x_closed", "patient", "INTERVAL 1 DAY")
 
 ORACLE = {name: _with(sql) for name, sql in _ANSWERS.items()}

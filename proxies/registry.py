@@ -33,7 +33,7 @@ from wardspan.plans import cost as costs
 from wardspan.plans import eras, events, people, visits
 from wardspan.plans.quality import quality_report
 from wardspan.plans.etl import Build, build_tables
-from wardspan.runtime import scratch_root, stage
+from wardspan.runtime import fresh_folder, stage
 from wardspan.schemas import CDM, SOURCE
 from wardspan.sources import (
     read_source,
@@ -167,7 +167,8 @@ class Chart(Clinic):
             "o_custkey",
             (F.col("l_partkey") % 5).alias("family"),
             start.alias("start"),
-            F.date_add(start, F.col("l_quantity").cast("int")).alias("end"),
+            # Quantities below 4 give intervals that end before they start.
+            F.date_add(start, F.col("l_quantity").cast("int") - 4).alias("end"),
             F.col("l_quantity").cast("long").alias("quantity"),
         )
 
@@ -248,7 +249,7 @@ def _rollup(c: Chart) -> DataFrame:
 
 def _round_trip(c: Chart) -> DataFrame:
     """Encounters written as CSV and read back as a source table."""
-    folder = f"{scratch_root(c.spark)}/csv"
+    folder = fresh_folder(c.spark, "csv")
     upper = c.encounters.toDF(*[n.upper() for n in c.encounters.columns])
     upper.write.mode("overwrite").option("header", True).csv(f"{folder}/encounters.csv")
     return conform(read_source(c.spark, folder, "encounters"), SOURCE["encounters"])
@@ -256,17 +257,19 @@ def _round_trip(c: Chart) -> DataFrame:
 
 def _vocabulary_text(c: Chart) -> DataFrame:
     """Concepts written like a vocabulary download, converted to Parquet and loaded."""
-    folder = f"{scratch_root(c.spark)}/vocabulary"
+    folder = fresh_folder(c.spark, "vocabulary")
     dates = {n: F.date_format(n, "yyyyMMdd") for n in ("valid_start_date", "valid_end_date")}
     writer = c.concept.withColumns(dates).write.mode("overwrite").option("header", True)
     writer.option("sep", "\t").option("quote", "").csv(f"{folder}/text/CONCEPT.csv")
     text = read_vocabulary_text(c.spark, f"{folder}/text/CONCEPT.csv", "concept")
     text.write.mode("overwrite").parquet(f"{folder}/bundle/concept.parquet")
+    for table in ("concept_relationship", "concept_ancestor", "vocabulary"):
+        getattr(c, table).write.parquet(f"{folder}/bundle/{table}.parquet")
     return read_vocabulary(c.spark, f"{folder}/bundle")["concept"]
 
 
 def _write_cdm(c: Chart) -> DataFrame:
-    folder = f"{scratch_root(c.spark)}/cdm"
+    folder = fresh_folder(c.spark, "cdm")
     write_cdm({"person": c.person}, folder, overwrite=True)
     return c.spark.read.schema(CDM["person"]).parquet(f"{folder}/person.parquet")
 
@@ -295,7 +298,7 @@ def _table_rows(c: Chart) -> DataFrame:
         describe=DESCRIBE,
         day=DAY,
     )
-    folder = f"{scratch_root(c.spark)}/whole"
+    folder = fresh_folder(c.spark, "whole")
 
     def keep(name: str, table: DataFrame) -> DataFrame:
         write_table(table, folder, name)

@@ -121,3 +121,23 @@ def test_island_ends_keep_rows(spark):
     df = spark.createDataFrame(data, "k string, start date, end date")
     got = rows(island_ends(df, ["k"], "start", "end", "last", 1), "start", "last")
     assert got == [(day(0), day(8)), (day(3), day(8)), (day(20), day(21))]
+
+
+def test_rows_that_end_before_they_start(spark):
+    """They count in the island that covers their start and open none."""
+    day = dt.date
+    data = [
+        ("a", day(2020, 1, 10), day(2020, 1, 20), 1),
+        ("a", day(2020, 1, 15), day(2020, 1, 12), 2),  # inside
+        ("a", day(2020, 1, 24), day(2020, 1, 30), 4),
+        ("a", day(2020, 1, 22), day(2020, 1, 2), 8),  # in the gap that the island spans
+        ("a", day(2020, 1, 30), day(2020, 1, 1), 16),  # on its last day
+        ("a", day(2020, 1, 31), day(2020, 1, 1), 32),  # behind it
+        ("a", day(2020, 1, 9), day(2020, 1, 8), 64),  # before it
+        ("b", day(2020, 1, 9), day(2020, 1, 8), 128),
+    ]
+    df = spark.createDataFrame(data, "k string, start date, end date, v long")
+    merged = merge_intervals(df, ["k"], "start", "end", 5, count_as="n", sums={"total": "v"})
+    assert [tuple(r) for r in merged.collect()] == [("a", day(2020, 1, 10), day(2020, 1, 30), 5, 31)]
+    ended = island_ends(df, ["k"], "start", "end", "last", 5).collect()
+    assert {(r.v, r.last) for r in ended} == {(v, day(2020, 1, 30)) for v in (1, 2, 4, 8, 16)}

@@ -43,7 +43,8 @@ def test_merging_folds_before_it_shuffles(spark):
     from wardspan.operators import merge_intervals
 
     text = plan(merge_intervals(episodes, ["k"], "start", "end", 30, count_as="n"))
-    assert text.count("Exchange hashpartitioning") == 2
+    # By cell, by start for the few rows that end before they start, and by key.
+    assert text.count("Exchange hashpartitioning") == 3
     fold = text[text.rindex("Exchange hashpartitioning") :]
     assert "partial_count" in fold and "partial_min" in fold
 

@@ -137,3 +137,26 @@ def test_failing_steps(spark):
     assert [(r.step, r.ok) for r in results] == [("person", False), ("provider", False)]
     with pytest.raises(ValueError):
         etl.build_tables(build, lambda n, t: t, ["nothing"], keep_going=True)
+
+
+def test_parts_with_another_column_order_fail(spark, tmp_path):
+    folder = tmp_path / "conditions.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("START,STOP,PATIENT,ENCOUNTER,CODE\n2020-01-01,,p1,e1,c1\n")
+    (folder / "part-1.csv").write_text("CODE,START,STOP,PATIENT,ENCOUNTER\nc2,2020-01-01,,p1,e1\n")
+    with pytest.raises(Exception, match="CSV header|header"):
+        read_source(spark, str(tmp_path), "conditions").collect()
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "conditions.csv").write_text('START,PATIENT,CODE,DESCRIPTION\n2020-01-01,p1,c1,"two\nlines"\n')
+    (row,) = read_source(spark, str(tmp_path), "conditions", multi_line=True).collect()
+    assert (row.patient, row.code, row.description) == ("p1", "c1", "two\nlines")
+
+
+@pytest.mark.parametrize("gone", ["concept", "concept_relationship", "concept_ancestor", "vocabulary"])
+def test_incomplete_vocabulary(spark, tmp_path, gone):
+    for table in {"concept", "concept_relationship", "concept_ancestor", "vocabulary"} - {gone}:
+        spark.createDataFrame([], VOCABULARY[table]).write.parquet(str(tmp_path / f"{table}.parquet"))
+    with pytest.raises(FileNotFoundError, match=gone):
+        read_vocabulary(spark, str(tmp_path))

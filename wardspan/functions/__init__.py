@@ -29,10 +29,6 @@ def parse_number(column: Column) -> Column:
     return F.when(column.rlike(PLAIN_NUMBER), column.try_cast(NUMERIC))
 
 
-def null_of(kind: str | T.DataType) -> Column:
-    return F.lit(None).cast(kind)
-
-
 def days_between(end: Column, start: Column) -> Column:
     """Whole days from start to end, both taken as dates."""
     return F.datediff(end.cast("date"), start.cast("date"))

@@ -26,20 +26,21 @@ def _cell(df: DataFrame, start: str, gap_days: int) -> Column:
 def _number_islands(
     cells: DataFrame, keys: Sequence[str], start: str, end: str, gap_days: int
 ) -> DataFrame:
+    """Cells, and rows without an end, in islands: the number and the end of each. A row without an
+    end opens no island and reaches nowhere; it stays if the island before it covers its start."""
     kind = cells.schema[end].dataType
-    ordered = Window.partitionBy(*keys).orderBy(start)
+    # Cells come before such rows of the same start.
+    ordered = Window.partitionBy(*keys).orderBy(start, F.col(end).isNull())
     reach = F.max(end).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.col(_REACH).isNull() | (F.col(start) > plus_days(F.col(_REACH), gap_days, kind))
-    return (
+    beyond = F.col(_REACH).isNull() | (F.col(start) > plus_days(F.col(_REACH), gap_days, kind))
+    opens = F.col(end).isNotNull() & beyond
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = (
         cells.withColumn(_REACH, reach)
-        .withColumn(
-            _ISLAND,
-            F.sum(opens.cast("long")).over(
-                ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
-        .drop(_REACH)
+        .withColumn(_ISLAND, F.sum(opens.cast("long")).over(upto))
+        .withColumn(_REACH, F.max(end).over(Window.partitionBy(*keys, _ISLAND)))
     )
+    return numbered.filter(F.col(start) <= F.col(_REACH))
 
 
 def valid_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -47,6 +48,11 @@ def valid_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.filter(F.col(start).isNotNull() & (F.col(end) >= F.col(start)))
 
 
+def inverted_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Rows that end before they start."""
+    return df.filter(F.col(end) < F.col(start))
+
+
 def merge_intervals(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,6 +67,9 @@ def merge_intervals(
     ``start`` and ``end`` are both dates or both timestamps. A row joins the island before it when
     its start is at most ``gap_days`` after the latest end so far.
 
+    A row that ends before it starts is counted in the island that covers its start; if there is
+    none it is left out, as rows without a start or an end are. ``interval_problems`` counts both.
+
     Rows are first folded to one per key and cell of the gap's width, with map-side combine: a hot
     key or copied rows shrink before any shuffle, and no window sees more rows of a key than there
     are cells in the time covered (36,525 days a century for dates without a gap, 1,179 cells for
@@ -73,7 +82,11 @@ def merge_intervals(
         valid_intervals(df, start, end)
         .groupBy(*keys, _cell(df, start, gap_days).alias(_CELL))
         .agg(F.min(start).alias(start), F.max(end).alias(end), *parts)
+        .drop(_CELL)
     )
+    points = inverted_intervals(df, start, end).groupBy(*keys, start).agg(F.lit(1).alias(_ISLAND), *parts)
+    points = points.drop(_ISLAND).withColumn(end, F.lit(None).cast(df.schema[end].dataType))
+    folded = folded.unionByName(points)
     totals = [F.sum("_n").alias(count_as)] if count_as else []
     totals += [F.sum(f"_sum_{out}").alias(out) for out in sums]
     return (
@@ -87,14 +100,20 @@ def merge_intervals(
 def island_ends(
     df: DataFrame, keys: Sequence[str], start: str, end: str, out: str, gap_days: int
 ) -> DataFrame:
-    """Keep every row and add the end of its island. Rows with unusable intervals are dropped.
+    """Keep every row and add the end of its island. A row that ends before it starts belongs to the
+    island that covers its start; without one it is dropped, as rows without a start or an end are.
 
     The islands are found on the folded cells as in ``merge_intervals``; the rows themselves are
-    only joined to their cell, so no task holds all rows of a key.
+    only joined to their cell or start, so no task holds all rows of a key.
     """
     rows = valid_intervals(df, start, end).withColumn(_CELL, _cell(df, start, gap_days))
     cells = rows.groupBy(*keys, _CELL).agg(F.min(start).alias(start), F.max(end).alias(end))
-    numbered = _number_islands(cells, keys, start, end, gap_days)
-    whole = Window.partitionBy(*keys, _ISLAND)
-    reached = numbered.select(*keys, _CELL, F.max(end).over(whole).alias(out))
-    return rows.join(reached, [*keys, _CELL]).drop(_CELL)
+    inverted = inverted_intervals(df, start, end)
+    kind = cells.schema[_CELL].dataType
+    points = inverted.select(*keys, F.lit(None).cast(kind).alias(_CELL), start).distinct()
+    points = points.withColumn(end, F.lit(None).cast(df.schema[end].dataType))
+    numbered = _number_islands(cells.unionByName(points), keys, start, end, gap_days)
+    numbered = numbered.withColumnRenamed(_REACH, out)
+    known = rows.join(numbered.filter(F.col(end).isNotNull()).select(*keys, _CELL, out), [*keys, _CELL])
+    covered = inverted.join(numbered.filter(F.col(end).isNull()).select(*keys, start, out), [*keys, start])
+    return known.drop(_CELL).unionByName(covered)

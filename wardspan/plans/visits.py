@@ -57,12 +57,9 @@ def inpatient_visits(
 
     Every distinct start stays a row of its own. With ``drop_from_open`` a stay without a stop never
     ends, so it and every stay of its island or after it are left out; otherwise it ends at its start.
+    A stay that stops before it starts is a visit if an island covers its start.
     """
-    usable = encounters.filter(
-        F.col("patient").isNotNull()
-        & F.col("start").isNotNull()
-        & (F.col("stop").isNull() | (F.col("stop") >= F.col("start")))
-    )
+    usable = encounters.filter(F.col("patient").isNotNull() & F.col("start").isNotNull())
     never = F.lit(_NEVER).cast("timestamp_ntz")
     stop = F.coalesce("stop", never if drop_from_open else F.col("start"))
     starts = _same_start(usable, classes.inpatient, stop)
