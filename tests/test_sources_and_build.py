@@ -102,7 +102,7 @@ def test_write_needs_permission_to_replace(spark, tmp_path):
         write_cdm(tables, out, layout="other", overwrite=True)
 
 
-def test_whole_build_from_files(spark, tmp_path):
+def test_whole_build_from_files(spark, tmp_path, monkeypatch):
     """CSV sources and a Parquet vocabulary to a finished folder; a second run changes nothing."""
     chart = Chart(spark, SMALL)
     source, bundle, out = (str(tmp_path / n) for n in ("csv", "vocabulary", "cdm"))
@@ -128,6 +128,16 @@ def test_whole_build_from_files(spark, tmp_path):
     assert all(r.ok for r in again)
     assert rows(read_cdm(spark, out, "visit_occurrence")) == first["visit_occurrence"]
 
+    def fails(build):
+        raise RuntimeError("no")
+
+    monkeypatch.setitem(etl.STEPS, "provider", fails)
+    before = {p: p.stat().st_mtime_ns for p in Path(out).rglob("*.parquet")}
+    with pytest.raises(RuntimeError):
+        etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY, steps=some, overwrite=True)
+    assert {p: p.stat().st_mtime_ns for p in Path(out).rglob("*.parquet")} == before
+    assert not [p for p in Path(out).parent.iterdir() if "-building-" in p.name]
+
 
 def test_failing_steps(spark):
     build = etl.Build(source={}, vocabulary={})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -13,10 +14,11 @@ from wardspan.operators import empty_table, source_to_source, source_to_standard
 from wardspan.plans import cost as costs
 from wardspan.plans import eras, events, people, visits
 from wardspan.plans.codes import CLASSES, VisitClasses
-from wardspan.runtime import scratch_run, stage
+from wardspan.runtime import remove_folder, scratch_run, stage
 from wardspan.schemas import CDM
 from wardspan.sources.tables import (
     check_free,
+    move_tables,
     read_cdm,
     read_sources,
     read_vocabulary,
@@ -197,7 +199,9 @@ def run_etl(
 
     Each table is written once and read back by the steps that need it, so a lost executor costs
     only its tasks. Tables that no step fills are written empty; work tables are dropped at the end.
-    A folder that already holds something is only replaced with ``overwrite``.
+    A folder that already holds something is only replaced with ``overwrite``. Tables are built in a
+    folder beside ``out`` and moved there when the build is over, so a build that fails leaves what
+    was there before as it is.
     """
     if not overwrite:
         check_free(spark, out)
@@ -209,11 +213,18 @@ def run_etl(
         classes=classes,
     )
 
-    def keep(name: str, table: DataFrame) -> DataFrame:
-        write_table(table, out, name)
-        return read_cdm(spark, out, name)
+    building = f"{out.rstrip('/')}-building-{uuid.uuid4().hex}"
 
-    with scratch_run(spark):
-        for name in CDM.keys() - STEPS.keys():
-            write_table(empty_table(spark, CDM[name]), out, name)
-        return build_tables(build, keep, steps, keep_going)
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        write_table(table, building, name)
+        return read_cdm(spark, building, name)
+
+    try:
+        with scratch_run(spark):
+            for name in CDM.keys() - STEPS.keys():
+                write_table(empty_table(spark, CDM[name]), building, name)
+            results = build_tables(build, keep, steps, keep_going)
+        move_tables(spark, building, out)
+    finally:
+        remove_folder(spark, building)
+    return results

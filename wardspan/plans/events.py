@@ -159,24 +159,23 @@ def measurement(
             out, F.coalesce(out, F.lit(0))
         )
 
-    looked_up = lookup(
-        lookup(observations, units, "units", "unit_concept_id"),
-        values,
-        "value",
-        "value_as_concept_id",
-    )
-    from_observations = _place(
-        looked_up,
+    # Mapped first: most observations are not measurements and need no unit or value looked up.
+    mapped = _place(
+        observations,
         observation_map,
         person,
         context,
         at=F.col("date"),
         value_as_number=parse_number(F.col("value")),
-        value_as_concept_id=F.col("value_as_concept_id"),
-        unit_concept_id=F.col("unit_concept_id"),
         unit_source_value=F.col("units"),
         value_source_value=F.col("value"),
     )
+    from_observations = lookup(
+        lookup(mapped, units, "unit_source_value", "unit_concept_id"),
+        values,
+        "value_source_value",
+        "value_as_concept_id",
+    )
     from_procedures = _place(
         procedures,
         procedure_map,

@@ -3,6 +3,7 @@
 from wardspan.sources.tables import (
     bundle_name,
     empty_cdm,
+    move_tables,
     read_cdm,
     read_csv_table,
     read_source,
@@ -17,6 +18,7 @@ from wardspan.sources.tables import (
 __all__ = [
     "bundle_name",
     "empty_cdm",
+    "move_tables",
     "read_cdm",
     "read_csv_table",
     "read_source",
