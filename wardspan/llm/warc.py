@@ -180,21 +180,25 @@ def _candidates(block: int):
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
-    """(path, offset) of the candidates (path, offset, successor) on the chain from offset 0."""
+    """(path, offset) of the candidates (path, offset, successor) on the chain from offset 0.
+
+    Pointers grow with the archive, and their paths pack far tighter in files than in memory, so that
+    file sizes say little: every join is a shuffled one.
+    """
     pointers = candidates.select("path", "offset", F.col("successor").alias("next"))
     known = candidates.select("path", "offset")
     starts = known.withColumnRenamed("offset", "next")
-    jump = stage(pointers.join(starts, ["path", "next"], "left_semi"), "warc-jumps")
+    jump = stage(pointers.join(starts.hint("merge"), ["path", "next"], "left_semi"), "warc-jumps")
     reached = stage(known.filter("offset = 0"), "warc-reached")
     while True:
-        ahead = reached.join(jump, ["path", "offset"]).select("path", F.col("next").alias("offset"))
+        ahead = reached.join(jump.hint("merge"), ["path", "offset"]).select("path", F.col("next").alias("offset"))
         more = stage(ahead, "warc-reached")
         if more.isEmpty():
             return reached
         reached = reached.unionByName(more)
         further = jump.select("path", F.col("offset").alias("next"), F.col("next").alias("far"))
         jump = stage(
-            jump.join(further, ["path", "next"]).select("path", "offset", F.col("far").alias("next")),
+            jump.join(further.hint("merge"), ["path", "next"]).select("path", "offset", F.col("far").alias("next")),
             "warc-jumps",
         )
 
@@ -212,7 +216,8 @@ def read_archive(spark: SparkSession, folder: str, block: int = BLOCK) -> DataFr
     cut = F.substring(F.col("content"), (F.col("start") + 1).cast("int"), F.lit(block + HEAD))
     found = blocks.select("path", "length", "start", cut.alias("data")).mapInArrow(_candidates(block), _CANDIDATE)
     found = stage(found, "warc-candidates")
-    records = stage(found.join(reachable(found), ["path", "offset"], "left_semi"), "warc-records")
+    real = reachable(found).hint("merge")
+    records = stage(found.join(real, ["path", "offset"], "left_semi"), "warc-records")
     ends = files.select("path", "length").join(
         records.filter("successor = length").select("path"), "path", "left_anti"
     )
