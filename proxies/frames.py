@@ -15,6 +15,8 @@ from wardspan.operators import COPY, conform, tag_copies
 from wardspan.schemas import SOURCE, VOCABULARY
 
 _AMOUNT = "decimal(18,3)"
+# A third of all lines have one code, the others the code of their part.
+_CODE = "string(CASE WHEN l_suppkey % 3 = 0 THEN 100 ELSE l_partkey END)"
 
 
 def _pick(index: str, *values: str) -> str:
@@ -99,7 +101,7 @@ class Clinic:
             "l_shipdate AS date",
             "concat('p', o_custkey) AS patient",
             "concat('e', l_orderkey) AS encounter",
-            "string(l_partkey % 100) AS code",
+            f"{_CODE} AS code",
             f"CAST(l_extendedprice AS {_AMOUNT}) AS base_cost",
             "concat('udi', l_suppkey) AS udi",
             COPY,
@@ -180,7 +182,7 @@ class Clinic:
             "concat('e', o_orderkey) AS appointmentid",
             f"{self.doctor} AS providerid",
             "concat('pay', o_orderkey % 26) AS primarypatientinsuranceid",
-            "string(l_partkey % 100) AS diagnosis1",
+            f"{_CODE} AS diagnosis1",
             "l_shipdate AS currentillnessdate",
             "o_orderdate AS servicedate",
             f"CAST(l_extendedprice AS {_AMOUNT}) AS charged",

@@ -85,7 +85,7 @@ FROM orders"""
 _DEF["x_lines"] = """
 SELECT l_shipdate AS at, CAST(l_shipdate AS DATE) AS at_day,
   CASE WHEN l_returnflag <> 'N' THEN l_shipdate + to_days(CAST(l_quantity AS INTEGER)) END AS stop,
-  'p' || o_custkey AS patient, 'e' || l_orderkey AS encounter, CAST(l_partkey % 100 AS VARCHAR) AS code,
+  'p' || o_custkey AS patient, 'e' || l_orderkey AS encounter, CAST(CASE WHEN l_suppkey % 3 = 0 THEN 100 ELSE l_partkey END AS VARCHAR) AS code,
   CAST(l_extendedprice AS DECIMAL(18,3)) AS base_cost, 'udi' || l_suppkey AS udi
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
@@ -111,7 +111,7 @@ FROM customer CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2) A
 _DEF["x_claims"] = f"""
 SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS claim,
   'p' || o_custkey AS patient, 'e' || o_orderkey AS encounter, 'd' || {_DOCTOR} AS provider,
-  'pay' || (o_orderkey % 26) AS payer, CAST(l_partkey % 100 AS VARCHAR) AS code, l_shipdate AS onset,
+  'pay' || (o_orderkey % 26) AS payer, CAST(CASE WHEN l_suppkey % 3 = 0 THEN 100 ELSE l_partkey END AS VARCHAR) AS code, l_shipdate AS onset,
   o_orderdate AS served, CAST(l_extendedprice AS DECIMAL(18,3)) AS charged,
   CAST(l_quantity AS DECIMAL(18,3)) AS shared
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
@@ -270,6 +270,12 @@ SELECT row_number() OVER () AS rid, o_custkey, l_partkey % 5 AS family, CAST(l_s
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
+_DEF["x_moments"] = """
+SELECT CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS weekday, o_orderdate + to_hours(o_orderkey % 24) AS lo,
+  o_orderdate + to_hours(o_orderkey % 24 + o_orderkey % 9 - 1) AS hi FROM orders"""
+_islands("x_moment_islands", "x_moments", "weekday", "INTERVAL 0 DAY")
+
+
 def _merged(gap: int) -> str:
     _islands(f"x_episodes{gap}", "x_episodes", "o_custkey, family", str(gap))
     return f"""SELECT o_custkey, family, opening AS "start", island_end AS "end", CAST(count(*) AS BIGINT) AS n,
@@ -800,6 +806,8 @@ _DESCRIBED = _fit(
 _ANSWERS = {
     "merge_intervals_gap0": _merged(0),
     "merge_intervals_gap30": _merged(30),
+    "merge_moments": """SELECT weekday, opening AS "start", island_end AS "end", count(*) AS n
+FROM x_moment_islands GROUP BY weekday, opening, island_end""",
     "inpatient_islands": """SELECT patient, opening AS "start", island_end AS "stop", count(*) AS stays
 FROM x_closed_islands GROUP BY patient, opening, island_end""",
     "dense_ids": """SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -822,6 +830,8 @@ FROM x_closed_islands GROUP BY patient, opening, island_end""",
   CAST(c.ancestor AS INTEGER) AS ingredient FROM x_lines f JOIN x_closure c ON c.descendant = CAST(f.code AS INTEGER)""",
     "source_to_standard": "SELECT * FROM x_standard",
     "source_to_source": "SELECT * FROM x_own",
+    "map_codes_shuffled": """SELECT patient, encounter, x_lines.at AS date, code, target_concept_id
+FROM x_lines JOIN x_condition_map USING (code)""",
     "unmapped_codes": """SELECT code, count(*) AS event_count FROM x_lines
 WHERE code NOT IN (SELECT code FROM x_condition_map) GROUP BY code""",
     "inpatient_visits": f"SELECT {_VISIT_COLUMNS} FROM x_ip",

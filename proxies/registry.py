@@ -20,6 +20,7 @@ from wardspan.operators import (
     earliest_cover,
     highest_before,
     interval_problems,
+    map_codes,
     merge_intervals,
     pick_best,
     previous_value,
@@ -242,6 +243,23 @@ def _numbers(c: Chart) -> DataFrame:
     ).select("event_id", "text", parse_number(F.col("text")).alias("number"))
 
 
+def _shuffled_codes(c: Chart) -> DataFrame:
+    """A third of the lines have one code, and the map is too large to broadcast."""
+    mapped = map_codes(c.lines, events.condition_map(c.standard), max_bytes=0)
+    return mapped.select("patient", "encounter", "date", "code", "target_concept_id")
+
+
+def _moments(c: Chart) -> DataFrame:
+    """Orders of a day of the week, open for some hours, as islands of moments without a gap."""
+    day = F.col("o_orderkey") % 24
+    orders = c.raw("orders").select(
+        F.dayofweek("o_orderdate").alias("weekday"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=day.cast("int"))).alias("start"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=(day + F.col("o_orderkey") % 9 - 1).cast("int"))).alias("end"),
+    )
+    return merge_intervals(orders, ["weekday"], "start", "end", count_as="n")
+
+
 def _rollup(c: Chart) -> DataFrame:
     facts = c.medications.select("patient", "start", "encounter", F.col("code").cast("int").alias("drug"), F.col("description"))
     return rollup_to_ancestor(facts.drop("description"), "drug", c.concept_ancestor, c.concept, "ingredient")
@@ -318,6 +336,7 @@ def _table_rows(c: Chart) -> DataFrame:
 QUERIES: dict[str, Callable[[Chart], DataFrame]] = {
     "merge_intervals_gap0": lambda c: _merged(c, 0),
     "merge_intervals_gap30": lambda c: _merged(c, 30),
+    "merge_moments": _moments,
     "inpatient_islands": _islands,
     "dense_ids": _dense_ids,
     "previous_value": lambda c: previous_value(
@@ -333,6 +352,7 @@ QUERIES: dict[str, Callable[[Chart], DataFrame]] = {
     "ancestor_rollup": _rollup,
     "source_to_standard": lambda c: c._standard(),
     "source_to_source": lambda c: source_to_source(c.concept, c.source_to_concept_map),
+    "map_codes_shuffled": _shuffled_codes,
     "unmapped_codes": lambda c: unmapped_codes(c.conditions, events.condition_map(c.standard)),
     "inpatient_visits": lambda c: _visit_columns(visits.inpatient_visits(c.encounters)),
     "emergency_visits": lambda c: _visit_columns(visits.emergency_visits(c.encounters)),

@@ -68,3 +68,24 @@ def test_earliest_cover_matches_brute_force(spark, seed):
     out = earliest_cover(p, q, "k", "at", ["x", "y"], ["y"])
     got = rows(out, "i", "x.span_id", "y.span_id", "y_exact.span_id")
     assert got == sorted(want, key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_one_date_far_off(spark, how):
+    """Points over two centuries, spans from days to all of them: no span is cut into many pieces."""
+    rng = random.Random(4)
+    day = lambda n: dt.date(1900, 1, 1) + dt.timedelta(days=n)
+    points = [(rng.choice([1, 2, None]), day(rng.choice([0, 70000, rng.randrange(70000)])), i) for i in range(200)]
+    spans = []
+    for s in range(60):
+        lo = rng.randrange(70000)
+        spans.append((rng.choice([1, 2, None]), day(lo), day(lo + rng.choice([3, 600, 9000, 90000])), s))
+    want = []
+    for k, at, i in points:
+        hits = [(i, s) for kk, lo, hi, s in spans if k is not None and kk == k and lo <= at <= hi]
+        want += hits or ([(i, None)] if how == "left" else [])
+    p = spark.createDataFrame(points, "k int, at date, i int")
+    q = spark.createDataFrame(spans, "k int, lo date, hi date, s int")
+    got = containment_join(p, q, ["k"], "at", "lo", "hi", how)
+    assert got.columns == ["k", "at", "i", "lo", "hi", "s"]
+    assert rows(got, "i", "s") == sorted(want, key=lambda r: (r[0], r[1] is None, r[1] or 0))

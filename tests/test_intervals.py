@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from tests.conftest import rows
+from tests.conftest import in_order, rows
 from wardspan.operators import interval_problems, island_ends, merge_intervals
 
 D0 = dt.date(2020, 1, 1)
@@ -141,3 +141,21 @@ def test_rows_that_end_before_they_start(spark):
     assert [tuple(r) for r in merged.collect()] == [("a", day(2020, 1, 10), day(2020, 1, 30), 5, 31)]
     ended = island_ends(df, ["k"], "start", "end", "last", 5).collect()
     assert {(r.v, r.last) for r in ended} == {(v, day(2020, 1, 30)) for v in (1, 2, 4, 8, 16)}
+
+
+def test_moments_of_hot_and_null_keys_without_a_gap(spark):
+    """Many distinct moments a day; some rows end before they start and stay where they are covered."""
+    rng = random.Random(9)
+    data = []
+    for _ in range(3000):
+        key = rng.choice(["hot", None, f"k{rng.randrange(30)}"])
+        lo = T0 + dt.timedelta(minutes=rng.randrange(20 * 1440))
+        data.append((key, lo, lo + dt.timedelta(minutes=rng.choice([-30, 0, 2, 5, 20]))))
+    want = []
+    for k in {k for k, _, _ in data}:
+        mine = [(lo, hi) for kk, lo, hi in data if kk == k]
+        islands = brute([(lo, hi) for lo, hi in mine if hi >= lo], dt.timedelta(0))
+        for lo, hi, n in islands:
+            want.append((k, lo, hi, n + sum(a > b and lo <= a <= hi for a, b in mine)))
+    schema = "k string, start timestamp_ntz, end timestamp_ntz"
+    assert merged(spark, data, 0, schema) == sorted(want, key=in_order)

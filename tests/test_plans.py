@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from proxies.registry import QUERIES, Chart
+from wardspan.operators import map_codes
 from wardspan.plans import people, visits
 from wardspan.sources import read_source
 
@@ -61,6 +62,16 @@ def test_filters_and_columns_reach_the_scan(spark, stored):
     assert "PushedFilters: [In(encounterclass" in text
     assert "total_claim_cost" not in text[text.index("ReadSchema") :]
 
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,e1)]" in plan(stored.filter("id = 'e1'"))
+
     chart = Chart(spark, SMALL)
     text = plan(people.death(stored, chart._standard(), chart.person))
     assert "EqualTo(code,308646001)" in text
+
+
+@pytest.mark.parametrize("limit, way", [(1 << 20, "BroadcastHashJoin"), (100, "SortMergeJoin")])
+def test_maps_are_broadcast_by_their_size(spark, limit, way):
+    facts = spark.range(1000).selectExpr("string(id % 7) AS code")
+    mapping = spark.range(50).selectExpr("string(id) AS code", "id AS target_concept_id")
+    joined = map_codes(facts, mapping, max_bytes=limit)
+    assert way in plan(joined) and joined.count() == 1000

@@ -42,7 +42,7 @@ def test_csv_by_name(spark, tmp_path):
         "7,2018-12-09 02:58:57.5,2018-12-10,p,,,,\n"
     )
     df = read_source(spark, str(tmp_path), "medications")
-    assert df.columns == [*SOURCE["medications"].fieldNames(), COPY]
+    assert df.columns == SOURCE["medications"].fieldNames()
     got = rows(df, "code", "start", "stop", "base_cost", "dispenses", "description", "encounter")
     t = dt.datetime(2018, 12, 9, 2, 58, 57)
     assert got == [
@@ -51,6 +51,14 @@ def test_csv_by_name(spark, tmp_path):
     ]
 
 
+def test_counts_that_are_no_whole_numbers_fail(spark, tmp_path):
+    (tmp_path / "medications.csv").write_text("CODE,DISPENSES\na,12.0\nb,5\n")
+    assert rows(read_source(spark, str(tmp_path), "medications"), "code", "dispenses") == [("a", 12), ("b", 5)]
+    (tmp_path / "medications.csv").write_text("CODE,DISPENSES\na,12.7\n")
+    with pytest.raises(Exception, match="12.7"):
+        read_source(spark, str(tmp_path), "medications").collect()
+
+
 def test_missing_sources_are_named(spark, tmp_path):
     (tmp_path / "patients.csv").write_text("Id\np\n")
     with pytest.raises(FileNotFoundError, match="encounters, providers"):
@@ -124,8 +132,17 @@ def test_whole_build_from_files(spark, tmp_path, monkeypatch):
     with pytest.raises(FileExistsError):
         etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY)
     some = ["vocabulary_maps", "visit_rollup", "person", "provider", "visit_occurrence"]
-    again = etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY, steps=some, overwrite=True)
+    report, text = str(tmp_path / "report"), str(tmp_path / "text")
+    again = etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY, steps=some, overwrite=True, report=report)
     assert all(r.ok for r in again)
+    counted = {(r.check_name, r.table_name): r.row_count for r in spark.read.parquet(report).collect()}
+    assert counted["hidden", "encounters"] > 0 and counted["surplus", "patients"] == 0
+    etl.run_etl(spark, source, bundle, text, DESCRIBE, DAY, steps=["person"], layout="tsv")
+    built = {"person", *(CDM.keys() - etl.STEPS.keys())}
+    assert {p.name for p in Path(text).iterdir()} == {f"{t}.tsv" for t in built}
+    assert spark.read.option("header", True).option("sep", "\t").csv(f"{text}/person.tsv").count() == 135
+    with pytest.raises(ValueError, match="layout"):
+        etl.run_etl(spark, source, bundle, text, DESCRIBE, DAY, layout="other", overwrite=True)
     assert rows(read_cdm(spark, out, "visit_occurrence")) == first["visit_occurrence"]
 
     def fails(build):

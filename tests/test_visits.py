@@ -65,6 +65,7 @@ def test_an_open_stay_hides_what_follows(spark):
         ],
     )
     assert [r[0] for r in rows(visits.inpatient_visits(e), "encounter_id")] == ["a", "e"]
+    assert [r[0] for r in rows(visits.hidden_stays(e), "encounter_id")] == ["b", "c", "d"]
     closed = visits.inpatient_visits(e, drop_from_open=False)
     assert rows(closed, "encounter_id", "visit_end_date") == [
         ("a", at(2)),

@@ -11,7 +11,8 @@ from wardspan.functions import day_number
 from wardspan.operators.scans import highest_before
 from wardspan.runtime import stage
 
-_BUCKET = "_bucket"
+_BUCKET, _LEVEL, _POINT = "_bucket", "_level", "_point"
+PIECES = 64  # buckets of its level that a span may touch
 
 
 def containment_join(
@@ -28,28 +29,51 @@ def containment_join(
 
     Time is cut into buckets and a span is repeated once per bucket it touches, so points only meet
     the spans of their own key and bucket: a large key is spread over the time it covers. Choose
-    the width near the usual span length. Spans are clipped to the time the points cover, which
-    bounds the repetition of open-ended spans. Key columns have the same names on both sides.
+    the width near the usual span length. Spans are clipped to the time the points cover. A span of
+    more than ``PIECES`` buckets is cut into buckets of twice the width, or four times and so on, so
+    that no span is repeated more often, however far dates lie apart. Points are repeated once for
+    each width in use, which are few. Key columns have the same names on both sides; a null key
+    matches nothing.
+
+    Not lazy: a small job finds the time of the points, and one the widths if their time has more
+    than ``PIECES`` buckets. With several widths a left join stages the points and the matches.
     """
     first, last = points.agg(F.min(day_number(F.col(at))), F.max(day_number(F.col(at)))).first()
     if first is None:  # no point in time at all: nothing can match
         first, last = 0, -1
-    width = F.lit(bucket_days)
     from_day = F.greatest(day_number(F.col(lo)), F.lit(first))
     to_day = F.least(day_number(F.col(hi)), F.lit(last))
-    pieces = (
-        spans.filter((F.col(hi) >= F.col(lo)) & (from_day <= to_day))
-        .withColumn(_BUCKET, F.explode(F.sequence(F.floor(from_day / width), F.floor(to_day / width))))
-        .withColumnsRenamed({k: f"_span_{k}" for k in keys} | {_BUCKET: "_span_bucket"})
-    )
-    bucketed = points.withColumn(_BUCKET, F.floor(day_number(F.col(at)) / width))
-    same = F.col(_BUCKET) == F.col("_span_bucket")
+    touching = spans.filter((F.col(hi) >= F.col(lo)) & (from_day <= to_day))
+    days = (to_day - from_day + 1) / F.lit(bucket_days * PIECES)
+    touching = touching.withColumn(_LEVEL, F.greatest(F.ceil(F.log2(days)), F.lit(0)).cast("int"))
+    levels = [0]
+    if last - first >= bucket_days * PIECES:
+        levels = sorted(r[0] for r in touching.select(_LEVEL).distinct().collect()) or [0]
+
+    def bucket(day: Column) -> Column:
+        return F.floor(day / (F.lit(bucket_days) * F.pow(F.lit(2), F.col(_LEVEL))))
+
+    pieces = touching.withColumn(
+        _BUCKET, F.explode(F.sequence(bucket(from_day), bucket(to_day)))
+    ).withColumnsRenamed({c: f"_span_{c}" for c in (*keys, _LEVEL, _BUCKET)})
+    same = (F.col(_BUCKET) == F.col("_span__bucket")) & (F.col(_LEVEL) == F.col("_span__level"))
     for k in keys:
         same = same & (F.col(k) == F.col(f"_span_{k}"))
     inside = (F.col(at) >= F.col(lo)) & (F.col(at) <= F.col(hi))
-    return bucketed.join(pieces, same & inside, how).drop(
-        _BUCKET, "_span_bucket", *[f"_span_{k}" for k in keys]
-    )
+
+    def joined(points: DataFrame, how: str) -> DataFrame:
+        at_levels = F.lit(levels[0]) if len(levels) == 1 else F.explode(F.array(*map(F.lit, levels)))
+        leveled = points.withColumn(_LEVEL, at_levels)
+        bucketed = leveled.withColumn(_BUCKET, bucket(day_number(F.col(at))))
+        found = bucketed.join(pieces, same & inside, how)
+        return found.drop(_LEVEL, _BUCKET, *[f"_span_{c}" for c in (*keys, _LEVEL, _BUCKET)])
+
+    if how == "inner" or len(levels) == 1:
+        return joined(points, how)
+    numbered = stage(points.withColumn(_POINT, F.monotonically_increasing_id()), "points")
+    found = stage(joined(numbered, "inner"), "contained")
+    rest = numbered.join(found.select(_POINT), _POINT, "left_anti")
+    return found.unionByName(rest, allowMissingColumns=True).drop(_POINT)
 
 
 def earliest_cover(
@@ -72,9 +96,10 @@ def earliest_cover(
     these stretches the spans of a kind are disjoint, and the last stretch begun decides. It is
     looked up among the rows of the same key and day, or carried in from one summary row per day.
     Each moment of a key is looked up once and joined to its points, so copies of a point cost
-    nothing; spans that differ only in their id should be reduced to the smallest one before.
+    nothing; spans that differ only in their id should be reduced to the smallest one before. A null
+    key matches nothing.
     """
-    valid = spans.filter(F.col("span_end") >= F.col("span_start"))
+    valid = spans.filter(F.col(key).isNotNull() & (F.col("span_end") >= F.col("span_start")))
     reach = highest_before(valid, [key, "kind"], "span_start", "span_id", "span_end", "_reach")
     # A stretch opened by the reach of an earlier span begins just after that moment.
     late = F.coalesce(F.col("_reach") >= F.col("span_start"), F.lit(False))
@@ -99,7 +124,8 @@ def earliest_cover(
             )
         )
     asked = (
-        points.select(key, F.col(at).alias("_time"))
+        points.filter(F.col(key).isNotNull())
+        .select(key, F.col(at).alias("_time"))
         .distinct()
         .withColumns({"_rank": F.lit(1), "_asked": F.lit(True)})
     )

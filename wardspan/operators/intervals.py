@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardspan.functions import day_number, plus_days
+from wardspan.operators.scans import highest_before, total_upto
+from wardspan.runtime import stage
 
 _CELL, _ISLAND, _REACH = "_cell", "_island", "_reach"
 
@@ -29,6 +31,8 @@ def _number_islands(
     """Cells, and rows without an end, in islands: the number and the end of each. A row without an
     end opens no island and reaches nowhere; it stays if the island before it covers its start."""
     kind = cells.schema[end].dataType
+    if gap_days == 0 and not isinstance(kind, T.DateType):
+        return _number_by_day(cells, keys, start, end)
     # Cells come before such rows of the same start.
     ordered = Window.partitionBy(*keys).orderBy(start, F.col(end).isNull())
     reach = F.max(end).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
@@ -43,6 +47,20 @@ def _number_islands(
     return numbered.filter(F.col(start) <= F.col(_REACH))
 
 
+def _number_by_day(cells: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """The same for moments without a gap, of which a key may have any number: reaches and numbers are
+    carried from day to day, so that a window sees one day of a key. Fields of structs are equal if
+    both are null, so a null key is a key here too."""
+    ordered = cells.withColumns({"_key": F.struct(*keys), "_late": F.col(end).isNull()})
+    reached = highest_before(stage(ordered, "cells"), ["_key"], start, "_late", end, _REACH)
+    opens = F.col(end).isNotNull() & (F.col(_REACH).isNull() | (F.col(start) > F.col(_REACH)))
+    opened = stage(reached.withColumn("_opens", opens.cast("long")).drop(_REACH), "opened")
+    numbered = stage(total_upto(opened, ["_key"], start, "_late", "_opens", _ISLAND), "islands")
+    ends = numbered.groupBy("_key", _ISLAND).agg(F.max(end).alias(_REACH))
+    found = numbered.join(ends, ["_key", _ISLAND]).filter(F.col(start) <= F.col(_REACH))
+    return found.drop("_key", "_late", "_opens")
+
+
 def valid_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
     """Rows whose start and end are known and in order; ``interval_problems`` counts the others."""
     return df.filter(F.col(start).isNotNull() & (F.col(end) >= F.col(start)))
@@ -73,7 +91,9 @@ def merge_intervals(
     Rows are first folded to one per key and cell of the gap's width, with map-side combine: a hot
     key or copied rows shrink before any shuffle, and no window sees more rows of a key than there
     are cells in the time covered (36,525 days a century for dates without a gap, 1,179 cells for
-    30 days). The island window and the final grouping share one exchange by key.
+    30 days). The island window and the final grouping share one exchange by key. Timestamps
+    without a gap have no such cells; their islands are found day by day, and cells are staged for
+    that when this is called.
     """
     sums = dict(sums or {})
     parts = [F.count(F.lit(1)).alias("_n")] if count_as else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardspan.runtime import broadcast_within
+from wardspan.runtime import BROADCAST_BYTES, broadcast_within
 
 # The sixteen columns of both maps and where each comes from in a concept row.
 _SOURCE_SIDE = {
@@ -140,15 +140,19 @@ def with_source_concept(
 
 
 def map_codes(
-    facts: DataFrame, mapping: DataFrame, code: str = "code", how: str = "inner"
+    facts: DataFrame,
+    mapping: DataFrame,
+    code: str = "code",
+    how: str = "inner",
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join facts to a code map; a code with several targets gives several rows.
 
-    The map is broadcast only when it was counted to be small. Codes may be skewed: with a broadcast
-    they are not shuffled at all, beyond the limit the adaptive skew join splits them.
+    The map is staged, and broadcast only if it takes at most ``max_bytes``. Codes may be skewed:
+    with a broadcast they are not shuffled at all, beyond it the adaptive skew join splits them.
     """
-    keyed = mapping.withColumnRenamed("code", "_code")
-    return facts.join(broadcast_within(keyed), F.col(code) == F.col("_code"), how).drop("_code")
+    keyed = broadcast_within(mapping.withColumnRenamed("code", "_code"), max_bytes)
+    return facts.join(keyed, F.col(code) == F.col("_code"), how).drop("_code")
 
 
 def unmapped_codes(facts: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -165,8 +169,10 @@ def rollup_to_ancestor(
     out: str,
     vocabulary: str = "RxNorm",
     concept_class: str = "Ingredient",
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Repeat each row for every ancestor of its concept in the given vocabulary and class."""
+    """Repeat each row for every ancestor of its concept in the given vocabulary and class. The
+    ancestors are staged, and broadcast only if they take at most ``max_bytes``."""
     wanted = concept.filter(
         (F.col("vocabulary_id") == vocabulary) & (F.col("concept_class_id") == concept_class)
     ).select(F.col("concept_id").alias(out))
@@ -179,5 +185,5 @@ def rollup_to_ancestor(
         .distinct()
     )
     return df.join(
-        broadcast_within(closure), F.col(concept_column) == F.col("_descendant")
+        broadcast_within(closure, max_bytes), F.col(concept_column) == F.col("_descendant")
     ).drop("_descendant")

@@ -10,13 +10,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardspan.operators import empty_table, source_to_source, source_to_standard
+from wardspan.operators import empty_table, source_to_source, source_to_standard, tag_copies
 from wardspan.plans import cost as costs
 from wardspan.plans import eras, events, people, visits
 from wardspan.plans.codes import CLASSES, VisitClasses
+from wardspan.plans.quality import hidden_report, quality_report
 from wardspan.runtime import remove_folder, scratch_run, stage
 from wardspan.schemas import CDM
 from wardspan.sources.tables import (
+    LAYOUTS,
     check_free,
     move_tables,
     read_cdm,
@@ -42,6 +44,20 @@ NEEDED = (
     "procedures",
     "providers",
 )
+# Their rows become numbered rows one by one. Tagged at the scan, so that identical ones are spread;
+# filters on the others reach the files.
+TAGGED = (
+    "allergies",
+    "conditions",
+    "devices",
+    "immunizations",
+    "medications",
+    "observations",
+    "patients",
+    "payer_transitions",
+    "procedures",
+    "providers",
+)
 
 
 @dataclass
@@ -194,8 +210,12 @@ def run_etl(
     keep_going: bool = False,
     classes: VisitClasses = CLASSES,
     overwrite: bool = False,
+    layout: str = "parquet",
+    report: str | None = None,
 ) -> list[StepResult]:
-    """Build every CDM table from files and write it to ``out`` as Parquet.
+    """Build every CDM table from files and write it to ``out``, as Parquet or, with ``layout``
+    "tsv", as tab-separated text. With ``report`` the quality report of sources and tables is
+    written to that folder as Parquet, in place of an older one.
 
     Each table is written once and read back by the steps that need it, so a lost executor costs
     only its tasks. Tables that no step fills are written empty; work tables are dropped at the end.
@@ -205,8 +225,11 @@ def run_etl(
     """
     if not overwrite:
         check_free(spark, out)
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}: {' or '.join(LAYOUTS)}")
+    source = read_sources(spark, source_dir, NEEDED)
     build = Build(
-        source=read_sources(spark, source_dir, NEEDED),
+        source={t: tag_copies(df) if t in TAGGED else df for t, df in source.items()},
         vocabulary=read_vocabulary(spark, vocabulary_dir),
         describe=describe,
         day=day,
@@ -224,7 +247,16 @@ def run_etl(
             for name in CDM.keys() - STEPS.keys():
                 write_table(empty_table(spark, CDM[name]), building, name)
             results = build_tables(build, keep, steps, keep_going)
-        move_tables(spark, building, out)
+            if report and "standard" in build.work:
+                checked = quality_report(source, build.work["standard"], build.done)
+                hidden = hidden_report(source["encounters"], classes)
+                checked.unionByName(hidden).write.mode("overwrite").parquet(report)
+        finished = building
+        if layout != "parquet":
+            finished = f"{building}/{layout}"
+            for name in [*build.done, *(CDM.keys() - STEPS.keys())]:
+                write_table(read_cdm(spark, building, name), finished, name, layout)
+        move_tables(spark, finished, out)
     finally:
         remove_folder(spark, building)
     return results

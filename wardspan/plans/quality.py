@@ -15,6 +15,8 @@ from wardspan.operators import (
     repeated_deaths,
     unmapped_codes,
 )
+from wardspan.plans.codes import CLASSES, VisitClasses
+from wardspan.plans.visits import hidden_stays
 from wardspan.schemas import CDM
 
 _UNIQUE = ("encounters", "patients", "providers")
@@ -68,3 +70,13 @@ def quality_report(
         again = repeated_deaths(done["death"]).agg(F.count(F.lit(1)).alias("n"))
         add("repeated", "death", "person_id", again, "n")
     return reduce(DataFrame.unionByName, parts)
+
+
+def hidden_report(encounters: DataFrame, classes: VisitClasses = CLASSES) -> DataFrame:
+    """A row like those of ``quality_report``: stays that an open stay of the patient hides."""
+    return hidden_stays(encounters, classes).agg(
+        F.lit("hidden").alias("check_name"),
+        F.lit("encounters").alias("table_name"),
+        F.lit("stop").alias("column_name"),
+        F.count(F.lit(1)).alias("row_count"),
+    )

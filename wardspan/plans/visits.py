@@ -59,20 +59,34 @@ def inpatient_visits(
     ends, so it and every stay of its island or after it are left out; otherwise it ends at its start.
     A stay that stops before it starts is a visit if an island covers its start.
     """
-    usable = encounters.filter(F.col("patient").isNotNull() & F.col("start").isNotNull())
     never = F.lit(_NEVER).cast("timestamp_ntz")
     stop = F.coalesce("stop", never if drop_from_open else F.col("start"))
-    starts = _same_start(usable, classes.inpatient, stop)
-    ended = island_ends(
-        starts, _KEYS, "visit_start_date", "visit_end_date", "_island_end", gap_days
-    )
     return (
-        ended.filter(F.col("_island_end") < never)
+        _stays(encounters, classes, gap_days, stop)
+        .filter(F.col("_island_end") < never)
         .withColumn("visit_end_date", F.col("_island_end"))
         .select(*_VISIT)
     )
 
 
+def hidden_stays(
+    encounters: DataFrame, classes: VisitClasses = CLASSES, gap_days: int = 1
+) -> DataFrame:
+    """The stays that ``inpatient_visits`` leaves out as their island has an open one."""
+    never = F.lit(_NEVER).cast("timestamp_ntz")
+    stays = _stays(encounters, classes, gap_days, F.coalesce("stop", never))
+    return stays.filter(F.col("_island_end") >= never).select(*_VISIT)
+
+
+def _stays(encounters: DataFrame, classes: VisitClasses, gap_days: int, stop: Column) -> DataFrame:
+    """One row per start of a stay, with the end of its island."""
+    usable = encounters.filter(F.col("patient").isNotNull() & F.col("start").isNotNull())
+    starts = _same_start(usable, classes.inpatient, stop)
+    return island_ends(
+        starts, _KEYS, "visit_start_date", "visit_end_date", "_island_end", gap_days
+    )
+
+
 def emergency_visits(encounters: DataFrame, classes: VisitClasses = CLASSES) -> DataFrame:
     """Emergency encounters of the same patient, class and start become one visit."""
     known = encounters.filter(F.col("patient").isNotNull() & F.col("start").isNotNull())

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 _OWN_ROOT: dict[str, str] = {}
 _RUN: ContextVar[str] = ContextVar("run", default="shared")
 
-# Rows a side may have and still be broadcast. Only narrow vocabulary rows (a code of at most
-# 50 characters and two ids, about 100 bytes) go through this, so the limit is about 100 MB.
-BROADCAST_ROWS = 1_000_000
+# Bytes that the rows of a side may take and still be broadcast: text as it is, 16 for each column.
+BROADCAST_BYTES = 64 << 20
 
 
 def session(app: str, cores: int | str = "*", **extra: str) -> SparkSession:
@@ -89,10 +88,13 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
         _RUN.reset(token)
 
 
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side has at most ``max_rows`` rows.
+def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Stage a narrow side, and have it broadcast only if its rows take at most ``max_bytes``.
 
-    Beyond that the frame is returned as it is and Catalyst plans a shuffled join, in which the
-    adaptive skew join splits hot keys.
+    Beyond that the join is a shuffled one, in which the adaptive skew join splits hot keys. Rows
+    are measured, not files, as these may be many times smaller.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    side = stage(df, "side")
+    lengths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    (size,) = side.agg(F.coalesce(F.sum(sum(lengths, F.lit(0))), F.lit(0))).first()
+    return F.broadcast(side) if size <= max_bytes else side.hint("merge")
