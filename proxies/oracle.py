@@ -903,6 +903,7 @@ WHERE drug_concept_id IN (SELECT concept_id FROM x_concept WHERE concept_class_i
         VOCABULARY["concept"], {f.name: f.name for f in VOCABULARY["concept"].fields}, "FROM x_concept"
     ),
     "write_cdm": "SELECT * FROM x_person",
+    "run_etl": "SELECT * FROM x_cost",
     "table_rows": " UNION ALL ".join(
         [
             *[

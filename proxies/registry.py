@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from proxies.frames import Clinic
 from wardspan.functions import parse_number
 from wardspan.operators import (
+    COPY,
     check_not_null,
     check_unique,
     conform,
@@ -33,10 +34,11 @@ from wardspan.operators import (
 from wardspan.plans import cost as costs
 from wardspan.plans import eras, events, people, visits
 from wardspan.plans.quality import quality_report
-from wardspan.plans.etl import Build, build_tables
+from wardspan.plans.etl import NEEDED, Build, build_tables, run_etl
 from wardspan.runtime import fresh_folder, stage
 from wardspan.schemas import CDM, SOURCE
 from wardspan.sources import (
+    read_cdm,
     read_source,
     read_vocabulary,
     read_vocabulary_text,
@@ -333,6 +335,17 @@ def _table_rows(c: Chart) -> DataFrame:
     return together
 
 
+def _files_to_cost(c: Chart) -> DataFrame:
+    """The build from files to files, and its last table."""
+    folder = fresh_folder(c.spark, "etl")
+    for t in NEEDED:
+        getattr(c, t).drop(COPY).write.option("header", True).csv(f"{folder}/csv/{t}.csv")
+    for t in VOCABULARY_TABLES:
+        getattr(c, t).write.parquet(f"{folder}/vocabulary/{t}.parquet")
+    run_etl(c.spark, f"{folder}/csv", f"{folder}/vocabulary", f"{folder}/cdm", DESCRIBE, DAY)
+    return read_cdm(c.spark, f"{folder}/cdm", "cost")
+
+
 QUERIES: dict[str, Callable[[Chart], DataFrame]] = {
     "merge_intervals_gap0": lambda c: _merged(c, 0),
     "merge_intervals_gap30": lambda c: _merged(c, 30),
@@ -389,6 +402,7 @@ QUERIES: dict[str, Callable[[Chart], DataFrame]] = {
     "read_vocabulary": _vocabulary_text,
     "write_cdm": _write_cdm,
     "table_rows": _table_rows,
+    "run_etl": _files_to_cost,
 }
 
 
