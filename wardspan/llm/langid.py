@@ -91,14 +91,13 @@ def solve(bits: np.ndarray, labels: list[str], landmarks: int, ridge: float) ->
 
 
 def labelled_sample(docs: DataFrame, per_lang: int, most: int) -> DataFrame:
-    """About ``per_lang`` texts of each language, ``most`` in all, chosen by a hash of the text.
-    Copies count once."""
+    """About ``per_lang`` texts of each language, chosen by a hash of the text, with the place of
+    each in its language (0 to 1) and the hash. At most ``most`` languages."""
     counts = docs.groupBy("lang").agg(F.least(F.lit(1.0), per_lang / F.count(F.lit(1))).alias("_share"))
     counts = counts.orderBy(F.desc("_share"), "lang").limit(most)  # one row per language
     chance = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 52)) / (1 << 52)
-    drawn = docs.withColumn("_u", chance).join(counts, "lang").filter(F.col("_u") < F.col("_share"))
-    drawn = drawn.dropDuplicates(["lang", "_u"])
-    return drawn.orderBy(F.col("_u") / F.col("_share"), "lang").limit(most).select("text", "lang")
+    drawn = docs.withColumn("u", chance).join(counts, "lang").filter(F.col("u") < F.col("_share"))
+    return drawn.select("text", "lang", (F.col("u") / F.col("_share")).alias("place"), "u")
 
 
 def fit(
@@ -108,7 +107,9 @@ def fit(
     landmarks: int = 192,
     ridge: float = 1e-3,
 ) -> Model:
-    """Fit on the rows of ``docs`` (text, lang) that have a language and letters."""
+    """Fit on the rows of ``docs`` (text, lang) that have a language and letters: about ``per_lang``
+    texts of each, ``most`` in all. Texts become bits where they are read, and copies count once;
+    only bits are sorted and brought to the driver."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,12 +117,15 @@ def fit(
             bits = [np.packbits(presence(t)).tobytes() for t in texts]
             letters = [has_letter(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bits, pa.binary()), pa.array(letters), batch.column("lang")],
-                names=["bits", "letters", "lang"],
+                [pa.array(bits, pa.binary()), pa.array(letters), *map(batch.column, ("lang", "place", "u"))],
+                names=["bits", "letters", "lang", "place", "u"],
             )
 
     known = docs.select("text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sample = labelled_sample(known, per_lang, most).mapInArrow(pack, "bits binary, letters boolean, lang string")
+    packed = labelled_sample(known, per_lang, most).mapInArrow(
+        pack, "bits binary, letters boolean, lang string, place double, u double"
+    )
+    sample = packed.dropDuplicates(["lang", "u"]).orderBy("place", "lang").limit(most)
     rows = sorted(set(tuple(r) for r in sample.filter("letters").select("lang", "bits").collect()))
     if not rows:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
