@@ -1,8 +1,10 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams, scanned against token windows.
 
 A window of the benchmark is ``n`` consecutive words of an item, or the whole item if it has fewer.
-Documents are cut into windows of the same widths inside their row, each window's hash is looked up
-in the broadcast set, and what is found is verified word by word. Only verified hits are shuffled.
+Documents are cut into windows of the same widths inside their row. The hash of a window's first
+words is looked up first, as most windows end there; those that begin like one of the benchmark are
+looked up as a whole in the broadcast set, and what is found is verified word by word. Only verified
+hits are shuffled.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ _WORD, _GAP = r"[0-9A-Za-z\P{ASCII}]", r"[\p{ASCII}&&[^0-9A-Za-z]]"
 
 # Windows that may be broadcast, at about 200 bytes each. Beyond, the join is shuffled.
 BROADCAST_WINDOWS = 500_000
+LEAD = 4  # words that are looked up first
 
 
 def _window_hash(word_hashes: Column, start: Column, width: int) -> Column:
@@ -26,10 +29,10 @@ def _window_hash(word_hashes: Column, start: Column, width: int) -> Column:
 
 
 def _windows(words: Column, width: int) -> tuple[Column, Column]:
-    """Hashes of the words, and of all windows of ``width`` words in order, given those."""
+    """Hashes of the words, and of the first words of all windows of ``width`` words, given those."""
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     starts = F.sequence(F.lit(0), F.size("word_hashes") - width)
-    windows = F.transform(starts, lambda i: _window_hash(F.col("word_hashes"), i, width))
+    windows = F.transform(starts, lambda i: _window_hash(F.col("word_hashes"), i, min(LEAD, width)))
     none = F.array().cast("array<bigint>")
     return hashes, F.when(F.size("word_hashes") >= width, windows).otherwise(none)
 
@@ -68,15 +71,20 @@ def find_hits(
             "word_hashes", F.transform("window", lambda w: F.xxhash64(w))
         )
         key = _window_hash(F.col("word_hashes"), F.lit(0), width)
+        lead = _window_hash(F.col("word_hashes"), F.lit(0), min(LEAD, width))
+        leads = grams.select(lead.alias("lead")).distinct()  # no more than windows
         grams = grams.select(key.alias("hash"), "window", "items")
-        grams = F.broadcast(grams) if count <= broadcast_windows else grams
+        if count <= broadcast_windows:
+            leads, grams = F.broadcast(leads), F.broadcast(grams)
         spread = texts.withColumn("word_hashes", hashes).select(
-            "text_md5", "words", F.posexplode(cut).alias("at", "hash")
+            "text_md5", "words", "word_hashes", F.posexplode(cut).alias("at", "lead")
         )
+        alike = spread.join(leads, "lead", "left_semi")
+        alike = alike.withColumn("hash", _window_hash(F.col("word_hashes"), F.col("at"), width))
         real = F.lit(True)
         for k in range(width):
             real &= F.get("words", F.col("at") + k) == F.get("window", F.lit(k))
-        hits = spread.join(grams, "hash").filter(real).select(
+        hits = alike.join(grams, "hash").filter(real).select(
             "text_md5", "at", F.lit(width).alias("width"), "items"
         )
         found = hits if found is None else found.unionByName(hits)
