@@ -14,6 +14,8 @@ from proxies.registry import QUERIES
 SMALL = "/root/testdata/sf0.001"
 SOME = (
     "merge_intervals_gap0",
+    "merge_moments",
+    "map_codes_shuffled",
     "inpatient_islands",
     "dense_ids",
     "earliest_cover",
