@@ -4,7 +4,8 @@ A window of the benchmark is ``n`` consecutive words of an item, or the whole it
 Documents are cut into windows of the same widths inside their row. The hash of a window's first
 words is looked up first, as most windows end there; those that begin like one of the benchmark are
 looked up as a whole in the broadcast set, and what is found is verified word by word. Only verified
-hits are shuffled.
+hits are shuffled. A set too large to broadcast is joined by a shuffle that moves one hash and place a
+window; the words are fetched for the windows that are found, and verified there.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ def _window_hash(word_hashes: Column, start: Column, width: int) -> Column:
     return F.xxhash64(*[F.get(word_hashes, start + k) for k in range(width)])
 
 
-def _windows(words: Column, width: int) -> tuple[Column, Column]:
-    """Hashes of the words, and of the first words of all windows of ``width`` words, given those."""
+def _windows(words: Column, width: int, first: int) -> tuple[Column, Column]:
+    """Hashes of the words, and of the ``first`` words of all windows of ``width`` words, given those."""
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     starts = F.sequence(F.lit(0), F.size("word_hashes") - width)
-    windows = F.transform(starts, lambda i: _window_hash(F.col("word_hashes"), i, min(LEAD, width)))
+    windows = F.transform(starts, lambda i: _window_hash(F.col("word_hashes"), i, first))
     none = F.array().cast("array<bigint>")
     return hashes, F.when(F.size("word_hashes") >= width, windows).otherwise(none)
 
@@ -54,6 +55,44 @@ def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _broadcast_hits(raw: DataFrame, texts: DataFrame, grams: DataFrame, width: int) -> DataFrame:
+    first = min(LEAD, width)
+    hashes, cut = _windows(F.col("words"), width, first)
+    key = _window_hash(F.col("word_hashes"), F.lit(0), width)
+    lead = _window_hash(F.col("word_hashes"), F.lit(0), first)
+    leads = F.broadcast(grams.select(lead.alias("lead")).distinct())  # no more than windows
+    grams = F.broadcast(grams.select(key.alias("hash"), "window", "items"))
+    spread = texts.withColumn("word_hashes", hashes).select(
+        "text_md5", "words", "word_hashes", F.posexplode(cut).alias("at", "lead")
+    )
+    alike = spread.join(leads, "lead", "left_semi")
+    alike = alike.withColumn("hash", _window_hash(F.col("word_hashes"), F.col("at"), width))
+    real = F.lit(True)
+    for k in range(width):
+        real &= F.get("words", F.col("at") + k) == F.get("window", F.lit(k))
+    return alike.join(grams, "hash").filter(real)
+
+
+def _shuffled_hits(raw: DataFrame, texts: DataFrame, grams: DataFrame, width: int) -> DataFrame:
+    """Rows that are shuffled have a fixed size a window, or one text each: never a text a window."""
+    hashes, cut = _windows(F.col("words"), width, width)
+    keys = grams.select(_window_hash(F.col("word_hashes"), F.lit(0), width).alias("hash"))
+    spread = texts.select(F.unhex("text_md5").alias("md5"), hashes.alias("word_hashes")).select(
+        "md5", F.posexplode(cut).alias("at", "hash")
+    )
+    places = spread.join(keys, "hash", "left_semi").groupBy("md5").agg(F.collect_set("at").alias("places"))
+    places = places.select(F.lower(F.hex("md5")).alias("text_md5"), "places")
+    # The words of a copy are cut out where its text arrives, and count once from there on.
+    alike = raw.join(places, "text_md5").select(
+        "text_md5", "places", plain_words(F.col("text")).alias("words")
+    )
+    windows = F.transform(
+        "places", lambda p: F.struct(p.alias("at"), F.slice("words", p + 1, width).alias("window"))
+    )
+    alike = alike.select("text_md5", F.explode(windows).alias("w")).select("text_md5", "w.at", "w.window")
+    return alike.distinct().join(grams.select("window", "items"), "window")
+
+
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_windows: int = BROADCAST_WINDOWS
 ) -> DataFrame:
@@ -61,30 +100,15 @@ def find_hits(
     and ``hit_items`` (item_ids with windows in it). Copies of a text are found as one."""
     windows = stage(benchmark_windows(benchmark, n), "benchmark-windows")
     sizes = {r["width"]: r["count"] for r in windows.groupBy("width").count().collect()}  # <= n rows
-    texts = docs.filter(F.col("text").isNotNull()).select(
-        F.md5("text").alias("text_md5"), plain_words(F.col("text")).alias("words")
-    )
+    raw = docs.filter(F.col("text").isNotNull()).select(F.md5("text").alias("text_md5"), "text")
+    texts = raw.select("text_md5", plain_words(F.col("text")).alias("words"))
     found = None
     for width, count in sorted(sizes.items()):
-        hashes, cut = _windows(F.col("words"), width)
         grams = windows.filter(F.col("width") == width).withColumn(
             "word_hashes", F.transform("window", lambda w: F.xxhash64(w))
         )
-        key = _window_hash(F.col("word_hashes"), F.lit(0), width)
-        lead = _window_hash(F.col("word_hashes"), F.lit(0), min(LEAD, width))
-        leads = grams.select(lead.alias("lead")).distinct()  # no more than windows
-        grams = grams.select(key.alias("hash"), "window", "items")
-        if count <= broadcast_windows:
-            leads, grams = F.broadcast(leads), F.broadcast(grams)
-        spread = texts.withColumn("word_hashes", hashes).select(
-            "text_md5", "words", "word_hashes", F.posexplode(cut).alias("at", "lead")
-        )
-        alike = spread.join(leads, "lead", "left_semi")
-        alike = alike.withColumn("hash", _window_hash(F.col("word_hashes"), F.col("at"), width))
-        real = F.lit(True)
-        for k in range(width):
-            real &= F.get("words", F.col("at") + k) == F.get("window", F.lit(k))
-        hits = alike.join(grams, "hash").filter(real).select(
+        look_up = _broadcast_hits if count <= broadcast_windows else _shuffled_hits
+        hits = look_up(raw, texts, grams, width).select(
             "text_md5", "at", F.lit(width).alias("width"), "items"
         )
         found = hits if found is None else found.unionByName(hits)
