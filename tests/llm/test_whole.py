@@ -6,8 +6,12 @@ import re
 
 from pyspark.sql import functions as F
 
+from wardspan.llm import langid
+from wardspan.llm.common import crc_of_id
 from wardspan.llm.decontamination import mark_contamination
 
+LARGE = "/root/testdata/sf0.1"
+
 # Decontamination
 
 
@@ -36,3 +40,22 @@ def compare_shuffled(spark, docs, bench):
     broadcast = mark_contamination(docs, bench)
     assert got == sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in broadcast.collect())
     assert got == [(1, 3000, 32, 2), (2, 3, 2, 1), (2, 3000, 32, 2)]
+
+
+# Language ID
+
+
+def test_megabytes_of_given_languages(spark):
+    """Held-out texts joined to megabytes still get their language, with a score like that of one."""
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet").select("doc_id", "text", "lang").filter("lang IS NOT NULL")
+    held_out = crc_of_id("doc_id") % 5 == 0
+    model = langid.fit(docs.filter(~held_out))
+    texts = {}
+    for r in docs.orderBy("doc_id").select("lang", "text", held_out.alias("h")).collect():
+        texts.setdefault(r.lang, ([], []))[r.h].append(r.text or "")
+    rows = []
+    for lang, (rest, some) in texts.items():
+        rows += [(lang, "\n".join(some + rest)[:3_000_000]), (lang, "\n".join(some)[:100_000])]
+    got = langid.identify(spark.createDataFrame(rows, "lang string, text string"), model).collect()
+    found = [(r.lang, len(r.text), r.lang_pred, round(r.score, 2)) for r in got]
+    assert len(texts) > 2 and all(a == b and score > 0.6 for a, _, b, score in found), found

@@ -2,12 +2,13 @@
 
 The blended-spectrum presence kernel of two texts counts the byte n-grams of 1 to 4 bytes that both
 hold, divided by the geometric mean of what each holds. N-grams are hashed to ``DIM`` places, so a
-text is a row of bits. Kernel ridge regression, one language against the rest, is solved in the
+text is a row of bits. A long text would fill them all, in any language: it is cut into spans of
+``SPAN`` bytes, and its kernel value is the sum over all its spans. Kernel ridge regression, one language against the rest, is solved in the
 space that ``landmarks`` training texts span (Nystroem). Scoring a batch is two matrix products:
 batch x landmarks, then landmarks x languages.
 
 The classifier is fitted on a bounded sample of labelled texts (``per_lang`` each and ``most`` in
-all); bits, not texts, are brought to the driver. Every text is scored as a whole.
+all); rows of places, not texts, are brought to the driver. Every text is scored as a whole.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from wardspan.llm.common import fresh_name
 
 DIM = 4096
 SIZES = (1, 2, 3, 4)
+SPAN = 2048  # bytes of a text that share one row of bits
 BATCH = 128
 PIECE = 1 << 20  # bytes of a text that are hashed at a time
 UNKNOWN = "und"
@@ -33,13 +35,14 @@ UNKNOWN = "und"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def presence(text: str | None) -> np.ndarray:
-    """Which hashed n-grams the folded text holds, as DIM booleans."""
-    found = np.zeros(DIM, bool)
+def _folded(text: str | None) -> bytes:
     folded = b" ".join((text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split())
-    if not folded:
-        return found
-    data = np.frombuffer(b" " + folded + b" ", np.uint8)
+    return b" " + folded + b" " if folded else b""
+
+
+def _places(folded: bytes) -> np.ndarray:
+    found = np.zeros(DIM, bool)
+    data = np.frombuffer(folded, np.uint8)
     for start in range(0, len(data), PIECE):
         piece = data[start : start + PIECE + SIZES[-1] - 1].astype(np.uint32)
         code = np.zeros(len(piece), np.uint32)
@@ -51,6 +54,23 @@ def presence(text: str | None) -> np.ndarray:
     return found
 
 
+def presence(text: str | None) -> np.ndarray:
+    """Which hashed n-grams the folded text holds, as DIM booleans."""
+    return _places(_folded(text))
+
+
+def spectrum(text: str | None) -> np.ndarray:
+    """The text's row in the kernel's space, of length 1: the sum over its spans, all of about the
+    same size, of their bits divided by the root of how many are set."""
+    folded = _folded(text)
+    row, spans = np.zeros(DIM, np.float32), max(1, round(len(folded) / SPAN))
+    ends = [len(folded) * i // spans for i in range(spans + 1)]
+    for start, end in zip(ends, ends[1:]):
+        bits = _places(folded[start : end + SIZES[-1] - 1])  # n-grams that begin in the span
+        row += bits / np.float32(np.sqrt(max(np.count_nonzero(bits), 1)))
+    return row / max(np.float32(np.linalg.norm(row)), np.float32(1e-9))
+
+
 def has_letter(text: str | None) -> bool:
     return any(c.isalpha() for c in text or "")
 
@@ -61,21 +81,21 @@ class Model:
     landmarks: np.ndarray  # landmarks x DIM, rows of length 1
     weights: np.ndarray  # landmarks x languages
 
-    def scores(self, bits: np.ndarray) -> np.ndarray:
-        """Regression values of rows of bits, a column per language."""
-        rows = bits.astype(np.float32)
-        rows /= np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1))
+    def scores(self, texts: np.ndarray) -> np.ndarray:
+        """Regression values of texts' rows, of any length, a column per language."""
+        rows = texts.astype(np.float32)
+        rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
         return rows @ self.landmarks.T @ self.weights
 
 
-def solve(bits: np.ndarray, labels: list[str], landmarks: int, ridge: float) -> Model:
+def solve(texts: np.ndarray, labels: list[str], landmarks: int, ridge: float) -> Model:
     """Kernel ridge regression on all rows, restricted to evenly chosen landmarks.
 
     Languages have equal weight in the fit however many rows they have.
     """
     languages = sorted(set(labels))
-    rows = bits.astype(np.float64)
-    rows /= np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1))
+    rows = texts.astype(np.float64)
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
     chosen, turn = [], 0
     of = {lang: [i for i, x in enumerate(labels) if x == lang] for lang in languages}
     while len(chosen) < min(landmarks, len(labels)):
@@ -108,30 +128,30 @@ def fit(
     ridge: float = 1e-3,
 ) -> Model:
     """Fit on the rows of ``docs`` (text, lang) that have a language and letters: about ``per_lang``
-    texts of each, ``most`` in all. Texts become bits where they are read, and copies count once;
-    only bits are sorted and brought to the driver."""
+    texts of each, ``most`` in all. Texts become rows of places where they are read, and copies
+    count once; only these rows are sorted and brought to the driver."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            bits = [np.packbits(presence(t)).tobytes() for t in texts]
+            spectra = [spectrum(t).tobytes() for t in texts]
             letters = [has_letter(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bits, pa.binary()), pa.array(letters), *map(batch.column, ("lang", "place", "u"))],
-                names=["bits", "letters", "lang", "place", "u"],
+                [pa.array(spectra, pa.binary()), pa.array(letters), *map(batch.column, ("lang", "place", "u"))],
+                names=["spectrum", "letters", "lang", "place", "u"],
             )
 
     known = docs.select("text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     packed = labelled_sample(known, per_lang, most).mapInArrow(
-        pack, "bits binary, letters boolean, lang string, place double, u double"
+        pack, "spectrum binary, letters boolean, lang string, place double, u double"
     )
     sample = packed.dropDuplicates(["lang", "u"]).orderBy("place", "lang").limit(most)
-    rows = sorted(set(tuple(r) for r in sample.filter("letters").select("lang", "bits").collect()))
+    rows = sorted(set(tuple(r) for r in sample.filter("letters").select("lang", "spectrum").collect()))
     if not rows:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
     order = np.random.default_rng(0).permutation(len(rows))
-    bits = np.array([np.unpackbits(np.frombuffer(bytes(rows[i][1]), np.uint8)) for i in order])
-    return solve(bits, [rows[i][0] for i in order], landmarks, ridge)
+    spectra = np.array([np.frombuffer(bytes(rows[i][1]), np.float32) for i in order])
+    return solve(spectra, [rows[i][0] for i in order], landmarks, ridge)
 
 
 def predict(text: Column, model: Model) -> Column:
@@ -144,7 +164,7 @@ def predict(text: Column, model: Model) -> Column:
         rows = [i for i, t in enumerate(texts) if model.languages and has_letter(t)]
         for at in range(0, len(rows), BATCH):
             some = rows[at : at + BATCH]
-            values = np.maximum(model.scores(np.array([presence(texts.iloc[i]) for i in some])), 1e-6)
+            values = np.maximum(model.scores(np.array([spectrum(texts.iloc[i]) for i in some])), 1e-6)
             best = values.argmax(axis=1)
             langs[some] = np.array(model.languages, object)[best]
             scores[some] = values[np.arange(len(some)), best] / values.sum(axis=1)
@@ -157,7 +177,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (text, ...) with ``lang_pred`` and ``score``; columns of these names are replaced.
 
     A text that is null or has no letter, or any text if nothing was learned, is ``und`` with score
-    0. Very long texts are hashed piece by piece, but as a whole. Repeated rows are scored alike.
+    0. All spans of a long text count alike. Repeated rows are scored alike.
     """
     docs = docs.drop("lang_pred", "score")
     found = fresh_name(docs, "found")
