@@ -59,3 +59,18 @@ def test_megabytes_of_given_languages(spark):
     got = langid.identify(spark.createDataFrame(rows, "lang string, text string"), model).collect()
     found = [(r.lang, len(r.text), r.lang_pred, round(r.score, 2)) for r in got]
     assert len(texts) > 2 and all(a == b and score > 0.6 for a, _, b, score in found), found
+
+
+def test_copies_do_not_hide_a_language(spark):
+    """Few texts with many copies each: the draw is among distinct texts. Rare languages and texts
+    without letters do not crowd each other out either."""
+    texts = [(f"kra stro gla {'blu' * k} nok", "y") for k in range(3)]
+    copied = spark.createDataFrame(texts, "text string, lang string").crossJoin(spark.range(3000)).drop("id")
+    marks = spark.range(5000).select(F.concat(F.lit("-- "), "id").alias("text"), F.lit("z").alias("lang"))
+    one = spark.createDataFrame([("ba be bi bo bu", "z")], "text string, lang string")
+    many = spark.range(400).selectExpr("concat('da de di ', repeat('do', id % 40), ' ', repeat('du', id div 40)) text", "concat('l', id % 20) lang")
+    docs = copied.unionByName(marks).unionByName(one).unionByName(many)
+    model = langid.fit(docs, per_lang=2, most=30, landmarks=20)
+    assert model.languages == sorted(["y", "z", *[f"l{i}" for i in range(20)]])
+    sample = langid.labelled_sample(copied, 400, 4000).collect()
+    assert sorted((r.text, r.lang) for r in sample) == sorted(texts)

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,13 +111,20 @@ def solve(texts: np.ndarray, labels: list[str], landmarks: int, ridge: float) ->
 
 
 def labelled_sample(docs: DataFrame, per_lang: int, most: int) -> DataFrame:
-    """About ``per_lang`` texts of each language, chosen by a hash of the text, with the place of
-    each in its language (0 to 1) and the hash. At most ``most`` languages."""
-    counts = docs.groupBy("lang").agg(F.least(F.lit(1.0), per_lang / F.count(F.lit(1))).alias("_share"))
+    """``per_lang`` distinct texts of each language, or all if there are fewer, chosen by a hash of
+    the text, each once: text, lang. Languages take turns up to ``most`` texts, so each of up to ``most`` has one."""
+    key = F.xxhash64(F.lit("sample"), "text")
+    distinct = docs.select("lang", key.alias("_key")).distinct()
+    ample = per_lang + 10 * per_lang**0.5 + 20  # drawn, so that hardly ever fewer than wanted are
+    counts = distinct.groupBy("lang").agg(F.least(F.lit(1.0), ample / F.count(F.lit(1))).alias("_share"))
     counts = counts.orderBy(F.desc("_share"), "lang").limit(most)  # one row per language
-    chance = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 52)) / (1 << 52)
-    drawn = docs.withColumn("u", chance).join(counts, "lang").filter(F.col("u") < F.col("_share"))
-    return drawn.select("text", "lang", (F.col("u") / F.col("_share")).alias("place"), "u")
+    chance = F.pmod(F.col("_key"), F.lit(1 << 52)) / (1 << 52)
+    drawn = distinct.join(counts, "lang").filter(chance < F.col("_share"))  # a bounded part of each
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(chance, "_key"))
+    drawn = drawn.select("lang", "_key", turn.alias("_turn")).filter(F.col("_turn") <= per_lang)
+    drawn = drawn.orderBy("_turn", "lang").limit(most)
+    texts = docs.withColumn("_key", key).join(F.broadcast(drawn.drop("_turn")), ["lang", "_key"])
+    return texts.groupBy("lang", "_key").agg(F.first("text").alias("text")).select("text", "lang")
 
 
 def fit(
@@ -127,26 +134,25 @@ def fit(
     landmarks: int = 192,
     ridge: float = 1e-3,
 ) -> Model:
-    """Fit on the rows of ``docs`` (text, lang) that have a language and letters: about ``per_lang``
-    texts of each, ``most`` in all. Texts become rows of places where they are read, and copies
-    count once; only these rows are sorted and brought to the driver."""
+    """Fit on the rows of ``docs`` (text, lang) that have a language and letters: ``per_lang``
+    texts of each, ``most`` in all. Copies count once, and a text of the sample is made a row of
+    places once; only these rows are brought to the driver."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            spectra = [spectrum(t).tobytes() for t in texts]
-            letters = [has_letter(t) for t in texts]
+            spectra = pa.array([spectrum(t).tobytes() for t in texts], pa.binary())
+            letters = pa.array([has_letter(t) for t in texts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(spectra, pa.binary()), pa.array(letters), *map(batch.column, ("lang", "place", "u"))],
-                names=["spectrum", "letters", "lang", "place", "u"],
+                [spectra, letters, batch.column("lang")], names=["spectrum", "letters", "lang"]
             )
 
-    known = docs.select("text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # Texts without letters are no part of the sample; what is a letter to Python alone decides.
+    known = docs.select("text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     packed = labelled_sample(known, per_lang, most).mapInArrow(
-        pack, "spectrum binary, letters boolean, lang string, place double, u double"
+        pack, "spectrum binary, letters boolean, lang string"
     )
-    sample = packed.dropDuplicates(["lang", "u"]).orderBy("place", "lang").limit(most)
-    rows = sorted(set(tuple(r) for r in sample.filter("letters").select("lang", "spectrum").collect()))
+    rows = sorted(set(tuple(r) for r in packed.filter("letters").select("lang", "spectrum").collect()))
     if not rows:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
     order = np.random.default_rng(0).permutation(len(rows))
