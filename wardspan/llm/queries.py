@@ -11,12 +11,15 @@ import corpus_pipeline
 from wardspan.llm.chat import chat_digest, format_chats
 from wardspan.llm.common import crc_of_id
 from wardspan.llm.decontamination import mark_contamination
+from wardspan.llm.fingerprints import compare_edits
 from wardspan.llm.langid import fit, identify
 from wardspan.llm.linededup import dedup_lines
 from wardspan.llm.lm import score_texts
+from wardspan.llm.merkle import check_documents
 from wardspan.llm.mixing import mix
 from wardspan.llm.neighbours import nearest
 from wardspan.llm.oracle import ORACLE
+from wardspan.llm.repair import damage, repair_report
 from wardspan.llm.sharding import shard
 from wardspan.llm.simhash import near_duplicates
 from wardspan.llm.warc import page_digests, read_archive, write_archive
@@ -94,6 +97,19 @@ def op10_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard(docs, keep=["doc_id"])
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(damage(turns), turns)
+
+
+def op12_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return compare_edits(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return check_documents(_table(spark, folder, "documents"))
+
+
 CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -105,6 +121,9 @@ CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_duplicates": op8_simhash_duplicates,
     "op9_warc_archive": op9_warc_archive,
     "op10_ring_sharding": op10_ring_sharding,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_document_fingerprints": op12_document_fingerprints,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 CORPUS_ORACLE: dict[str, str] = ORACLE | (
