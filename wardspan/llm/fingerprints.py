@@ -104,26 +104,29 @@ def _bucket(docs: DataFrame, per_bucket: int) -> Column:
 
 
 def with_next(docs: DataFrame, per_bucket: int = 2000) -> DataFrame:
-    """``docs`` (doc_id, text, sketch) with ``next_text`` and ``next_sketch`` of the document that
-    follows by doc_id and, for ties, by text; after the last comes the first, null doc_ids first.
+    """``docs`` (doc_id, text) with their ``sketch``, and ``next_text`` and ``next_sketch`` of the
+    document that follows by doc_id and, for ties, by text; after the last comes the first, null
+    doc_ids first.
 
     Documents are dealt into buckets of neighbouring doc_ids and shuffled once; a window in each finds
     the next one, and the first document of a bucket visits the bucket before as a guest. A window
     sorts and spills; repeated doc_ids share a bucket.
     """
-    numbered = docs.select(_bucket(docs, per_bucket).alias("bucket"), "doc_id", "text", "sketch")
+    numbered = docs.select(_bucket(docs, per_bucket).alias("bucket"), "doc_id", "text")
     slim = numbered.select("bucket", "doc_id")
     least = slim.groupBy("bucket").agg(F.min("doc_id").alias("least")).orderBy("bucket").collect()
     if not least:
-        return docs.withColumns({"next_text": F.col("text"), "next_sketch": F.col("sketch")})
+        alike = docs.select("doc_id", "text", sketch(F.col("text")).alias("sketch"))
+        return alike.withColumns({"next_text": F.col("text"), "next_sketch": F.col("sketch")})
     hosts = [(r.bucket, least[i - 1].bucket) for i, r in enumerate(least)]
     firsts = docs.sparkSession.createDataFrame(
         [(b, r.least, h) for (b, h), r in zip(hosts, least)], "bucket long, least long, host long"
     )
     guests = numbered.join(F.broadcast(firsts), "bucket").filter(F.col("doc_id").eqNullSafe(F.col("least")))
-    guests = guests.groupBy("host").agg(F.min(F.struct("doc_id", "text", "sketch")).alias("guest"))
+    guests = guests.groupBy("host").agg(F.min(F.struct("doc_id", "text")).alias("guest"))
     guests = guests.select(F.col("host").alias("bucket"), "guest.*", F.lit(True).alias("guest"))
     both = numbered.withColumn("guest", F.lit(False)).unionByName(guests)
+    both = both.withColumn("sketch", sketch(F.col("text")))  # once a document, before the shuffle
     ahead = Window.partitionBy("bucket").orderBy("guest", "doc_id", "text")
     found = both.withColumns(
         {"next_text": F.lead("text").over(ahead), "next_sketch": F.lead("sketch").over(ahead)}
@@ -143,7 +146,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    found = with_next(given.withColumn("sketch", sketch(F.col("text"))))
+    found = with_next(given)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
