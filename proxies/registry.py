@@ -31,6 +31,7 @@ from wardspan.operators import (
     source_to_standard,
     unmapped_codes,
 )
+from wardspan.operators import Like
 from wardspan.plans import cost as costs
 from wardspan.plans import eras, events, people, visits
 from wardspan.plans.quality import quality_report
@@ -184,7 +185,8 @@ def _merged(c: Chart, gap: int) -> DataFrame:
 
 def _dense_ids(c: Chart) -> DataFrame:
     columns = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return dense_ids(c.raw("lineitem").select(*columns), columns, "line_id")
+    lines = c.raw("lineitem").select(*columns)
+    return dense_ids(lines, columns, "line_id", [Like(lines)])
 
 
 def _visit_columns(visits_: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import in_order, rows
 from wardspan import runtime
-from wardspan.operators import COPY, dense_ids, highest_before, pick_best, previous_value, tag_copies
+from wardspan.operators import ranges
+from wardspan.operators import COPY, Like, dense_ids, highest_before, pick_best, previous_value, tag_copies
 
 T0 = dt.datetime(2020, 1, 1)
 
@@ -37,6 +38,45 @@ def test_identical_copies_are_numbered_and_spread(spark, tmp_path):
     assert out.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first()[:] == (1, 30_000, 30_000)
 
 
+@pytest.mark.parametrize("count, columns", [(4, ["a", "b"]), (50, ["a", "b"]), (3, ["a"]), (6, ["b"])])
+def test_ids_over_ranges_of_a_sample(spark, monkeypatch, count, columns):
+    """Ranges come from another frame, by compiled cuts or by halving; NULLs are last. A key that fills
+    a range (b has three values) sends the rows the other way."""
+    monkeypatch.setattr(ranges, "LEAST_ROWS", 3000 // count)
+    monkeypatch.setattr(ranges, "ROWS", 3000 // count)
+    rng = random.Random(count)
+    data = [(rng.choice([None, *range(900)]), rng.choice([None, "a", "ä"]), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "a int, b string, c long")
+    order = ["b", "a", "c"] if columns == ["b"] else ["a", "b", "c"]
+    like = Like(df.select("c"), lambda some: some.join(df, "c").select(*columns))
+    out = dense_ids(df, order, "id", [like]).orderBy("id").collect()
+    assert [r["id"] for r in out] == list(range(1, 3001))
+    at = [["a", "b", "c"].index(c) for c in order]
+    want = sorted(([r[i] for i in at] for r in data), key=in_order)
+    assert [[r[c] for c in order] for r in out] == want
+    found = ranges.cut_ranges([like], columns)
+    assert (found.repeated is not None) == (columns == ["b"])
+    if columns != ["b"]:
+        parts = found.deal(df).groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == found.count and max(r["count"] for r in parts) < 4 * 3000 / found.count
+
+
+def test_rows_are_computed_and_written_once(spark):
+    """With a sample of the inputs a frame is neither staged nor run for its ranges."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50_000).selectExpr("id * 7919 % 50000 AS a").mapInArrow(watch, "a long")
+    out = dense_ids(df, ["a"], "id", [Like(spark.range(50_000).selectExpr("id AS a"))])
+    assert out.filter("a + 1 = id").count() == 50_000 and seen.value == 50_000
+    folder = Path(out.inputFiles()[0]).parent.name
+    assert folder.startswith("id-") and not folder.startswith("id-rows")
+
+
 def test_ids_of_nothing_and_of_one_row(spark):
     empty = spark.createDataFrame([], "a int")
     assert dense_ids(empty, ["a"], "id").collect() == []

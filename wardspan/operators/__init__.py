@@ -20,10 +20,12 @@ from wardspan.operators.mapping import (
     with_source_concept,
 )
 from wardspan.operators.picks import pick_best
+from wardspan.operators.ranges import Like
 from wardspan.operators.scans import highest_before, previous_value
 
 __all__ = [
     "COPY",
+    "Like",
     "check_not_null",
     "check_unique",
     "code_map",

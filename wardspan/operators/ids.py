@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import takewhile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardspan.operators.ranges import RANGE, Like, cut_ranges
 from wardspan.runtime import stage
 
 # Tells identical copies of a source row apart, so that range partitioning can split them.
@@ -24,23 +26,39 @@ def tag_copies(scan: DataFrame) -> DataFrame:
     return scan.withColumn(COPY, F.monotonically_increasing_id())
 
 
-def dense_ids(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+def _leading(like: Sequence[Like], order: Sequence[str]) -> list[str]:
+    """The columns of ``order`` up to the first that ``like`` does not have."""
+    has = set(like[0].through(like[0].base.limit(0)).columns)
+    return list(takewhile(has.__contains__, order))
+
+
+def dense_ids(
+    df: DataFrame, order: Sequence[str], name: str, like: Sequence[Like] | None = None
+) -> DataFrame:
     """Number the rows 1..n by ``order`` (NULLs last) in column ``name``.
 
     ``order`` must be a total order up to identical rows; then a rerun gives the same result. The
     rows are range partitioned and sorted, written once with their position inside the partition,
-    and shifted by the row counts of the partitions before. Ranges follow the whole order, so a key
-    holding a third of the rows is spread over a third of the partitions; identical copies are
-    spread through ``copy_no`` if the frame has it. Only one count per partition reaches the driver.
+    and shifted by the row counts of the partitions before. Only one count per partition reaches the
+    driver.
+
+    ``like`` gives frames with the leading columns of ``order`` that are cheap to read and distributed
+    like the rows (``Ranges``). With it the rows are computed once and ranged on their first write.
+    Without it, or if a single key of ``like`` fills more than a range, the rows are staged first and
+    ranged by their whole order, so that a key holding a third of the rows is spread over a third of
+    the partitions; identical copies are spread through ``copy_no`` if the frame has it.
 
-    Not lazy: the rows are computed and staged once, then ranged and written again, when this is
-    called.
+    Not lazy: the rows are computed and written when this is called.
     """
     keys = [F.col(c).asc_nulls_last() for c in order]
     if COPY in df.columns:
         keys.append(F.col(COPY).asc())
-    # Range partitioning samples its input first; from a staged table that is a plain read.
-    ranged = stage(df, f"{name}-rows").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranges = cut_ranges(like, _leading(like, order)) if like else None
+    if ranges and ranges.repeated is None:
+        ranged = ranges.deal(df).drop(RANGE).sortWithinPartitions(*keys)
+    else:
+        # Range partitioning samples its input first; from a staged table that is a plain read.
+        ranged = stage(df, f"{name}-rows").repartitionByRange(*keys).sortWithinPartitions(*keys)
     staged = stage(ranged.withColumn(_SLOT, F.monotonically_increasing_id()).drop(COPY), name)
 
     part = F.shiftright(_SLOT, _ROW_BITS)

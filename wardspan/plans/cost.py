@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardspan.operators import COPY, conform, containment_join, dense_ids
+from wardspan.operators import COPY, Like, conform, containment_join, dense_ids
 from wardspan.plans import codes
 from wardspan.runtime import stage
 from wardspan.schemas import CDM, NUMERIC
@@ -28,7 +28,8 @@ def payer_plan_period(
         )
     )
     order = ["patient", "start_year", "end_year", "payer", "name", "person_id"]
-    numbered = dense_ids(rows, order, "payer_plan_period_id")
+    like = [Like(payer_transitions.select("patient", "start_year", "end_year", "payer"))]
+    numbered = dense_ids(rows, order, "payer_plan_period_id", like)
     unknown = [
         "payer_concept_id",
         "payer_source_concept_id",
@@ -222,7 +223,7 @@ def cost(
         priced, plans, ["person_id"], "event_date", "plan_start", "plan_end", "left", bucket_days=365
     ).select("cost_event_id", "cost_domain_id", *_AMOUNTS, "payer_plan_period_id")
     order = ["cost_event_id", "cost_domain_id", *_AMOUNTS, "payer_plan_period_id"]
-    numbered = dense_ids(covered, order, "cost_id")
+    numbered = dense_ids(covered, order, "cost_id", [Like(priced.select(*order[:-1]))])
     return conform(
         numbered.withColumns(
             {

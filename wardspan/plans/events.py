@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wardspan.functions import days_between, parse_number, stamp_text
 from wardspan.operators import (
     COPY,
+    Like,
     code_map,
     conform,
     dense_ids,
@@ -53,6 +54,15 @@ def _place(
     )
 
 
+def _like(facts: DataFrame, person: DataFrame, at: Column) -> Like:
+    """Person and time of facts, to be known from a sample without mapping them."""
+    people = person.select("person_id", F.col("person_source_value").alias("patient"))
+    return Like(
+        facts.select("patient", at.alias("at")),
+        lambda some: some.join(people, "patient").select("person_id", "at"),
+    )
+
+
 def _finish(numbered: DataFrame, table: str, prefix: str, **columns: Column | int) -> DataFrame:
     """Give the shared columns their names in ``table``, add the others and fit the layout."""
     named = {
@@ -82,7 +92,8 @@ def condition_occurrence(
         at=F.col("start"),
         end=F.coalesce("stop", "start"),
     ).drop("provider_id")
-    numbered = dense_ids(rows, [*_LEAD, "end"], "condition_occurrence_id")
+    like = [_like(conditions, person, F.col("start"))]
+    numbered = dense_ids(rows, [*_LEAD, "end"], "condition_occurrence_id", like)
     return _finish(
         numbered,
         "condition_occurrence",
@@ -121,7 +132,9 @@ def observation(
         .unionByName(leg(observations, "LOINC", "date"))
     )
     order = [*_LEAD, "visit_occurrence_id", "provider_id"]
-    numbered = dense_ids(rows, order, "observation_id")
+    times = ((allergies, "start"), (conditions, "start"), (observations, "date"))
+    like = [_like(facts, person, F.col(time).cast("timestamp_ntz")) for facts, time in times]
+    numbered = dense_ids(rows, order, "observation_id", like)
     return _finish(
         numbered,
         "observation",
@@ -197,7 +210,9 @@ def measurement(
         "visit_occurrence_id",
         "provider_id",
     ]
-    numbered = dense_ids(from_procedures.unionByName(from_observations), order, "measurement_id")
+    rows = from_procedures.unionByName(from_observations)
+    like = [_like(procedures, person, F.col("start")), _like(observations, person, F.col("date"))]
+    numbered = dense_ids(rows, order, "measurement_id", like)
     return _finish(
         numbered,
         "measurement",
@@ -221,7 +236,8 @@ def procedure_occurrence(
         code_map(standard, domain="Procedure", target="SNOMED", source="SNOMED"), own, "SNOMED"
     )
     rows = _place(procedures, mapping, person, context, at=F.col("start"))
-    numbered = dense_ids(rows, _LEAD, "procedure_occurrence_id")
+    like = [_like(procedures, person, F.col("start"))]
+    numbered = dense_ids(rows, _LEAD, "procedure_occurrence_id", like)
     return _finish(
         numbered,
         "procedure_occurrence",
@@ -253,7 +269,8 @@ def device_exposure(
         end=F.col("stop"),
         unique_device_id=F.col("udi"),
     )
-    numbered = dense_ids(rows, [*_LEAD, "end", "unique_device_id"], "device_exposure_id")
+    like = [_like(devices, person, F.col("start"))]
+    numbered = dense_ids(rows, [*_LEAD, "end", "unique_device_id"], "device_exposure_id", like)
     return _finish(
         numbered,
         "device_exposure",
@@ -287,7 +304,8 @@ def drug_exposure(
         leg(immunizations, "CVX", "date", "date")
     )
     order = [*_LEAD, "stop", "visit_occurrence_id", "provider_id"]
-    numbered = dense_ids(rows, order, "drug_exposure_id")
+    like = [_like(medications, person, F.col("start")), _like(immunizations, person, F.col("date"))]
+    numbered = dense_ids(rows, order, "drug_exposure_id", like)
     end = F.coalesce("stop", "at")
     return _finish(
         numbered,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardspan.functions import case_map
-from wardspan.operators import COPY, code_map, conform, dense_ids, map_codes
+from wardspan.operators import COPY, Like, code_map, conform, dense_ids, map_codes
 from wardspan.plans import codes
 from wardspan.schemas import CDM
 
@@ -21,7 +21,7 @@ def person(patients: DataFrame) -> DataFrame:
     known = patients.filter(F.col("gender").isNotNull()).select(
         "id", "birthdate", "gender", "race", "ethnicity", *_copy(patients)
     )
-    numbered = dense_ids(known, ["id", "birthdate", "gender", "race", "ethnicity"], "person_id")
+    numbered = dense_ids(known, ["id", "birthdate", "gender", "race", "ethnicity"], "person_id", [Like(patients.select("id"))])
     born = F.col("birthdate").cast("date")
     return conform(
         numbered.select(
@@ -48,7 +48,7 @@ def person(patients: DataFrame) -> DataFrame:
 def provider(providers: DataFrame) -> DataFrame:
     """Providers numbered by their source id."""
     rows = providers.select("id", "name", "gender", "speciality", *_copy(providers))
-    numbered = dense_ids(rows, ["id", "name", "gender", "speciality"], "provider_id")
+    numbered = dense_ids(rows, ["id", "name", "gender", "speciality"], "provider_id", [Like(providers.select("id"))])
     gender = case_map(F.col("gender"), codes.GENDER)
     return conform(
         numbered.select(
@@ -76,7 +76,8 @@ def observation_period(person: DataFrame, encounters: DataFrame) -> DataFrame:
         spans, F.col("person_source_value") == F.col("patient")
     )
     per_person = rows.groupBy("person_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    numbered = dense_ids(per_person, ["person_id", "lo", "hi"], "observation_period_id")
+    like = [Like(person.select("person_id"))]
+    numbered = dense_ids(per_person, ["person_id", "lo", "hi"], "observation_period_id", like)
     return conform(
         numbered.select(
             "observation_period_id",

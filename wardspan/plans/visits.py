@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardspan.functions import case_map
 from wardspan.operators import (
+    Like,
     conform,
     containment_join,
     dense_ids,
@@ -98,11 +99,14 @@ def outpatient_visits(encounters: DataFrame, classes: VisitClasses = CLASSES) ->
     return _same_start(encounters, classes.outpatient, F.col("stop"))
 
 
-def all_visits(inpatient: DataFrame, emergency: DataFrame, outpatient: DataFrame) -> DataFrame:
-    """All visits, numbered by patient, start, class and encounter."""
+def all_visits(
+    inpatient: DataFrame, emergency: DataFrame, outpatient: DataFrame, like: Like | None = None
+) -> DataFrame:
+    """All visits, numbered by patient, start, class and encounter. ``like`` has the patients and
+    starts of the encounters they come from."""
     together = inpatient.unionByName(emergency).unionByName(outpatient)
     order = ["patient", "visit_start_date", "encounterclass", "encounter_id"]
-    return dense_ids(together, order, "visit_occurrence_id")
+    return dense_ids(together, order, "visit_occurrence_id", [like] if like else None)
 
 
 def roll_up(encounters: DataFrame, classes: VisitClasses = CLASSES) -> DataFrame:
@@ -110,6 +114,7 @@ def roll_up(encounters: DataFrame, classes: VisitClasses = CLASSES) -> DataFrame
         inpatient_visits(encounters, classes),
         emergency_visits(encounters, classes),
         outpatient_visits(encounters, classes),
+        Like(encounters.select("patient", F.col("start").alias("visit_start_date"))),
     )
 
 
