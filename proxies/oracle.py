@@ -902,6 +902,10 @@ WHERE drug_concept_id IN (SELECT concept_id FROM x_concept WHERE concept_class_i
     "read_vocabulary": _fit(
         VOCABULARY["concept"], {f.name: f.name for f in VOCABULARY["concept"].fields}, "FROM x_concept"
     ),
+    "read_rejects": """SELECT
+  CASE WHEN o_orderkey % 7 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END || ',p' || o_custkey || ',e' || o_orderkey
+    AS record,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'start' ELSE '' END AS reason FROM orders""",
     "write_cdm": "SELECT * FROM x_person",
     "run_etl": "SELECT * FROM x_cost",
     "table_rows": " UNION ALL ".join(

@@ -41,6 +41,7 @@ from wardspan.schemas import CDM, SOURCE
 from wardspan.sources import (
     read_cdm,
     read_source,
+    read_source_lenient,
     read_vocabulary,
     read_vocabulary_text,
     write_cdm,
@@ -201,7 +202,7 @@ def _islands(c: Chart) -> DataFrame:
 def _contained(c: Chart) -> DataFrame:
     points = c.lines.select("patient", "encounter", "code", F.col("date").cast("date").alias("at"), "udi")
     spans = c.payer_transitions.select("patient", "payer", "start_year", "end_year")
-    return containment_join(points, spans, ["patient"], "at", "start_year", "end_year", "left", 365)
+    return containment_join(points, spans, ["patient"], "at", "start_year", "end_year", "left")
 
 
 def _earliest(c: Chart) -> DataFrame:
@@ -216,7 +217,8 @@ def _earliest(c: Chart) -> DataFrame:
         F.col("o_orderdate").alias("span_start"),
         (F.col("o_orderdate") + F.make_dt_interval(days=(key % 200).cast("int"))).alias("span_end"),
     )
-    found = earliest_cover(points, spans, "o_custkey", "l_shipdate", ["even", "odd"], ["odd"])
+    like = [Like(c.raw("orders").select("o_custkey", F.col("o_orderdate").alias("l_shipdate")))]
+    found = earliest_cover(points, spans, "o_custkey", "l_shipdate", ["even", "odd"], ["odd"], like)
     return found.select(
         "l_orderkey",
         "l_linenumber",
@@ -277,6 +279,23 @@ def _round_trip(c: Chart) -> DataFrame:
     return conform(read_source(c.spark, folder, "encounters"), SOURCE["encounters"])
 
 
+def _rejects(c: Chart) -> DataFrame:
+    """Conditions written as CSV in several files, one row in seven with a start that is no date."""
+    folder, key = fresh_folder(c.spark, "csv"), F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    rows = c.raw("orders").select(
+        F.when(key % 7 == 0, "soon").otherwise(day).alias("START"),
+        F.concat(F.lit("p"), "o_custkey").alias("PATIENT"),
+        F.concat(F.lit("e"), key).alias("ENCOUNTER"),
+    )
+    rows.repartition(3).write.option("header", True).csv(f"{folder}/conditions.csv")
+    kept, rejects = read_source_lenient(c.spark, folder, "conditions")
+    record = F.concat_ws(",", "start", "patient", "encounter")
+    return rejects.select("record", "reason").unionByName(
+        kept.select(record.alias("record"), F.lit("").alias("reason"))
+    )
+
+
 def _vocabulary_text(c: Chart) -> DataFrame:
     """Concepts written like a vocabulary download, converted to Parquet and loaded."""
     folder = fresh_folder(c.spark, "vocabulary")
@@ -401,6 +420,7 @@ QUERIES: dict[str, Callable[[Chart], DataFrame]] = {
     "quality_report": _quality,
     "exposures_by_concept": _by_concept,
     "read_source": _round_trip,
+    "read_rejects": _rejects,
     "read_vocabulary": _vocabulary_text,
     "write_cdm": _write_cdm,
     "table_rows": _table_rows,

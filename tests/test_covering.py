@@ -4,9 +4,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from wardspan.operators import containment_join, earliest_cover
+from wardspan.operators import containment_join, earliest_cover, ranges
+from wardspan.operators.covering import cut_spans, shared_level
 
 D0, T0 = dt.date(2020, 1, 1), dt.datetime(2020, 1, 1)
 
@@ -26,9 +28,44 @@ def test_containment_matches_brute_force(spark, how):
         want += hits or ([(i, None)] if how == "left" else [])
     p = spark.createDataFrame(points, "k int, at date, i int")
     q = spark.createDataFrame(spans, "k int, lo date, hi date, s int")
-    for width in (1, 8, 365):
-        got = containment_join(p, q, ["k"], "at", "lo", "hi", how, width)
-        assert rows(got, "i", "s") == sorted(want, key=lambda r: (r[0], r[1] is None, r[1] or 0))
+    got = containment_join(p, q, ["k"], "at", "lo", "hi", how)
+    assert rows(got, "i", "s") == sorted(want, key=lambda r: (r[0], r[1] is None, r[1] or 0))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_spans_of_a_minute_to_a_century(spark, how, kind):
+    rng = random.Random(7)
+    minute, far = dt.timedelta(minutes=1), dt.datetime(1950, 6, 1)
+    lengths = [0, 1, 3, 4, 63, 64, 1440, 43_200, 525_600, 52_560_000]
+    spans = []
+    for s in range(150):
+        lo = far + minute * rng.choice([rng.randrange(2000), rng.randrange(60_000_000)])
+        spans.append((rng.choice([1, 2, None]), lo, lo + minute * rng.choice(lengths) + dt.timedelta(seconds=rng.randrange(-60, 60)), s))
+    points = [(rng.choice([1, 2, None]), far + minute * rng.choice([rng.randrange(2500), rng.randrange(60_000_000)]), i) for i in range(200)]
+    points += [(k, rng.choice(x), 200 + i) for i, (k, *x, _) in enumerate(spans)]
+    want = []
+    for k, at, i in points:
+        hits = [(i, s) for kk, lo, hi, s in spans if k is not None and kk == k and lo <= at <= hi]
+        want += hits or ([(i, None)] if how == "left" else [])
+    p = spark.createDataFrame(points, "k int, at timestamp_ntz, i int").withColumn("at", F.col("at").cast(kind))
+    q = spark.createDataFrame(spans, "k int, lo timestamp_ntz, hi timestamp_ntz, s int")
+    q = q.withColumns({c: F.col(c).cast(kind) for c in ("lo", "hi")})
+    got = containment_join(p, q, ["k"], "at", "lo", "hi", how)
+    assert rows(got, "i", "s") == sorted(want, key=lambda r: (r[0], r[1] is None, r[1] or 0))
+
+
+def test_no_span_is_in_many_pieces(spark):
+    """65 cells at most; those of all spans together cover at most three times their time."""
+    q = spark.range(1, 48).select(F.col("id").alias("s"), F.explode(F.expr("array(0, 17, 4095)")).alias("lo"))
+    q = q.withColumn("n", F.pow(F.lit(1.45), "s").cast("long"))
+    base, levels = shared_level(q, F.col("n"))
+    cut = cut_spans(q, F.col("lo").cast("long"), F.col("lo") + F.col("n") - 1, base)
+    counts = cut.groupBy("s", "lo").agg(F.count(F.lit(1)).alias("pieces"), F.max("_level").alias("level")).collect()
+    assert max(r.pieces for r in counts) <= 65 and {r.level for r in counts} == set(levels)
+    covered, time = cut.agg(F.sum(F.pow(F.lit(4), "_level"))).first()[0], q.agg(F.sum("n")).first()[0]
+    assert covered <= 3 * time
+
 
 
 def test_containment_without_points_or_spans(spark):
@@ -40,12 +77,18 @@ def test_containment_without_points_or_spans(spark):
     assert containment_join(one, none, ["k"], "at", "lo", "hi", "left").count() == 1
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_earliest_cover_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, rows_a_range, hot", [(1, 10_000, False), (2, 30, False), (3, 7, False), (4, 40, True)])
+def test_earliest_cover_matches_brute_force(spark, monkeypatch, seed, rows_a_range, hot):
+    """In one range and in many, so that keys lie on cuts; and with a moment that fills several."""
+    monkeypatch.setattr(ranges, "LEAST_ROWS", rows_a_range)
+    monkeypatch.setattr(ranges, "ROWS", rows_a_range)
     rng = random.Random(seed)
     # coarse times, so that starts, ends and points often coincide, also at midnight
     step = dt.timedelta(hours=12)
     points = [(rng.randrange(4), T0 + step * rng.randrange(120), i) for i in range(300)]
+    points += [(None, T0, 300), (2, None, 301)]
+    if hot:
+        points += [(2, T0 + step * 50, i) for i in range(302, 600)]
     spans = []
     for s in range(120):
         lo = T0 + step * rng.randrange(120)
@@ -56,7 +99,7 @@ def test_earliest_cover_matches_brute_force(spark, seed):
         hits = [
             (lo, s)
             for kk, n, s, lo, hi in spans
-            if kk == k and n == kind and hi is not None and lo <= at <= hi and (lo == at or not exact)
+            if kk == k and n == kind and None not in (hi, at) and lo <= at <= hi and (lo == at or not exact)
         ]
         return min(hits)[1] if hits else None
 

@@ -13,9 +13,11 @@ from wardspan.plans import etl
 from wardspan.schemas import CDM, SOURCE, VOCABULARY
 from wardspan.sources import (
     bundle_name,
+    cdm_folder,
     empty_cdm,
     read_cdm,
     read_source,
+    read_source_lenient,
     read_sources,
     read_vocabulary,
     read_vocabulary_text,
@@ -120,13 +122,14 @@ def test_whole_build_from_files(spark, tmp_path, monkeypatch):
         getattr(chart, t).write.parquet(f"{bundle}/{t}.parquet")
     results = etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY)
     assert [r.step for r in results] == list(etl.STEPS) and all(r.ok for r in results)
-    assert {p.name for p in Path(out).iterdir()} == {f"{t}.parquet" for t in CDM}
+    now = lambda folder: Path(cdm_folder(spark, folder))
+    assert {p.name for p in now(out).iterdir()} == {f"{t}.parquet" for t in CDM}
     assert read_cdm(spark, out, "person").count() == 135
     assert read_cdm(spark, out, "note").count() == 0
     first = {t: rows(read_cdm(spark, out, t)) for t in ("visit_occurrence", "cost")}
     assert len(first["cost"]) > 1000
     for t, schema in CDM.items():
-        written = spark.read.parquet(f"{out}/{t}.parquet").schema
+        written = spark.read.parquet(f"{now(out)}/{t}.parquet").schema
         assert [(f.name, f.dataType) for f in written] == [(f.name, f.dataType) for f in schema]
 
     with pytest.raises(FileExistsError):
@@ -139,8 +142,8 @@ def test_whole_build_from_files(spark, tmp_path, monkeypatch):
     assert counted["hidden", "encounters"] > 0 and counted["surplus", "patients"] == 0
     etl.run_etl(spark, source, bundle, text, DESCRIBE, DAY, steps=["person"], layout="tsv")
     built = {"person", *(CDM.keys() - etl.STEPS.keys())}
-    assert {p.name for p in Path(text).iterdir()} == {f"{t}.tsv" for t in built}
-    assert spark.read.option("header", True).option("sep", "\t").csv(f"{text}/person.tsv").count() == 135
+    assert {p.name for p in now(text).iterdir()} == {f"{t}.tsv" for t in built}
+    assert spark.read.option("header", True).option("sep", "\t").csv(f"{now(text)}/person.tsv").count() == 135
     with pytest.raises(ValueError, match="layout"):
         etl.run_etl(spark, source, bundle, text, DESCRIBE, DAY, layout="other", overwrite=True)
     assert rows(read_cdm(spark, out, "visit_occurrence")) == first["visit_occurrence"]
@@ -149,11 +152,53 @@ def test_whole_build_from_files(spark, tmp_path, monkeypatch):
         raise RuntimeError("no")
 
     monkeypatch.setitem(etl.STEPS, "provider", fails)
-    before = {p: p.stat().st_mtime_ns for p in Path(out).rglob("*.parquet")}
+    current = now(out)
+    before = {p: p.stat().st_mtime_ns for p in current.rglob("*.parquet")}
     with pytest.raises(RuntimeError):
         etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY, steps=some, overwrite=True)
-    assert {p: p.stat().st_mtime_ns for p in Path(out).rglob("*.parquet")} == before
-    assert not [p for p in Path(out).parent.iterdir() if "-building-" in p.name]
+    assert now(out) == current
+    assert {p: p.stat().st_mtime_ns for p in current.rglob("*.parquet")} == before
+
+    # It goes on where it stopped: at its fourth step, without the three before.
+    for done in some[:3]:
+        monkeypatch.setitem(etl.STEPS, done, fails)
+    monkeypatch.setitem(etl.STEPS, "provider", lambda b: etl.people.provider(b.source["providers"]))
+    done = etl.run_etl(spark, source, bundle, out, DESCRIBE, DAY, steps=some, overwrite=True, resume=True)
+    assert [r.reused for r in done] == [True, True, True, False, False]
+    assert now(out) != current and rows(read_cdm(spark, out, "visit_occurrence")) == first["visit_occurrence"]
+    assert {p.name for p in now(out).iterdir()} == {f"{t}.parquet" for t in {*some[2:], *(CDM.keys() - etl.STEPS.keys())}}
+    assert {p.name for p in (Path(out) / "builds").iterdir()} == {now(out).name, current.name}
+    with pytest.raises(RuntimeError):  # other settings: nothing to go on with
+        etl.run_etl(spark, source, bundle, out, {**DESCRIBE, "source_description": "x"}, DAY, steps=some, overwrite=True, resume=True)
+
+
+def test_bad_rows_are_set_aside(spark, tmp_path):
+    """Rows with wrong values or numbers of fields, in two files, and line breaks inside quotes."""
+    folder = tmp_path / "medications.csv"
+    folder.mkdir()
+    head = "START,CODE,DISPENSES,BASE_COST,DESCRIPTION\n"
+    (folder / "a.csv").write_text(head + '2020-01-01 10:00:00,c1,5,1.5,"x, ""y"""\nnever,c2,12.7,1.5,z\n2020-01-01,c3\n')
+    (folder / "b.csv").write_text(head + "2020-01-02T00:00:00Z,c4,12.0,,\n2020-01-03,c5,1,2,3,4\n,c6,,much,\n")
+    kept, rejects = read_source_lenient(spark, str(tmp_path), "medications")
+    assert rows(kept, "code", "dispenses") == [("c1", 5), ("c4", 12)]
+    got = {(r.file[-5:], r.record, r.reason) for r in rejects.collect()}
+    assert got == {
+        ("a.csv", "never,c2,12.7,1.5,z", "start,dispenses"),
+        ("a.csv", "2020-01-01,c3", "fields"),
+        ("b.csv", "2020-01-03,c5,1,2,3,4", "fields"),
+        ("b.csv", ",c6,,much,", "base_cost"),
+    }
+    assert kept.schema == read_source(spark, str(tmp_path), "medications").schema
+    (folder / "b.csv").write_text(head + '2020-01-02,c4,1,2,"two\nlines"\n')
+    kept, rejects = read_source_lenient(spark, str(tmp_path), "medications", multi_line=True)
+    assert rows(kept, "code", "description") == [("c1", 'x, "y"'), ("c4", "two\nlines")] and rejects.count() == 2
+
+
+def test_downloaded_vocabulary(spark, tmp_path):
+    for name in ("CONCEPT", "CONCEPT_ANCESTOR", "CONCEPT_RELATIONSHIP", "VOCABULARY", "CONCEPT_CPT4"):
+        (tmp_path / f"{name}.csv").write_text("concept_id\n1\n")
+    vocabulary = read_vocabulary(spark, str(tmp_path))
+    assert vocabulary["concept"].count() == 1 and vocabulary["domain"].count() == 0
 
 
 def test_failing_steps(spark):

@@ -74,21 +74,22 @@ class Ranges:
     def on_cuts(self, df: DataFrame, key: str) -> DataFrame:
         """(key, range) of each key of ``df`` that may lie in more than one range, for the ranges it
         may lie in. ``key`` is the first of the columns."""
-        none = df.sparkSession.range(1)
-        at = F.posexplode(self.cuts).alias("at", "cut") if self.count > 1 else None
-        if at is None:
-            empty = df.select(key).filter("false")
-            return empty.withColumn(RANGE, F.lit(0))
-        cuts = none.select(at).select(F.col("cut.v0").alias(key), "at")
+        if self.count == 1:
+            return df.select(key).filter("false").withColumn(RANGE, F.lit(0))
+        cuts = df.sparkSession.range(1).select(F.posexplode(self.cuts).alias("at", "cut"))
+        cuts = cuts.select(F.col("cut.v0").alias(key), "at")
         return cuts.select(key, F.explode(F.array("at", F.col("at") + 1)).alias(RANGE)).distinct()
 
 
-def cut_ranges(likes: Sequence[Like], columns: Sequence[str], count: int | None = None) -> Ranges:
+def cut_ranges(
+    likes: Sequence[Like], columns: Sequence[str], count: int | None = None, exact: bool = False
+) -> Ranges:
     """Ranges of about equal numbers of rows in the order of ``columns``, NULLs last.
 
     The base frames are counted, and ``PER_RANGE`` rows a range are drawn from them: at most 163,840
     in all, sorted in one place. The cuts, at most ``MOST`` keys, become part of the plan. Which rows
-    are drawn changes the ranges, not what is computed over them.
+    are drawn changes the ranges, not what is computed over them. With ``exact`` all columns cut, and
+    not only as many as tell the cuts apart.
     """
     rows = sum(like.base.count() for like in likes)
     context = likes[0].base.sparkSession.sparkContext
@@ -107,7 +108,7 @@ def cut_ranges(likes: Sequence[Like], columns: Sequence[str], count: int | None
     chosen = keys[every - 1 : every * (count - 1) : every]
     cuts = list(dict.fromkeys(chosen))
     repeated = sorted({a for a, b in zip(chosen, chosen[1:]) if a == b}, key=chosen.index)
-    width = next(w for w in range(1, len(columns) + 1) if len({c[:w] for c in cuts}) == len(cuts))
+    width = len(columns) if exact else next(w for w in range(1, len(columns) + 1) if len({c[:w] for c in cuts}) == len(cuts))
 
     def written(keys: list[tuple], width: int) -> Column:
         """Keys as a constant of the plan, from their texts."""

@@ -220,7 +220,7 @@ def cost(
     )
     priced = stage(rows, "priced")  # read for its time range, for the join and for sampling
     covered = containment_join(
-        priced, plans, ["person_id"], "event_date", "plan_start", "plan_end", "left", bucket_days=365
+        priced, plans, ["person_id"], "event_date", "plan_start", "plan_end", "left"
     ).select("cost_event_id", "cost_domain_id", *_AMOUNTS, "payer_plan_period_id")
     order = ["cost_event_id", "cost_domain_id", *_AMOUNTS, "payer_plan_period_id"]
     numbered = dense_ids(covered, order, "cost_id", [Like(priced.select(*order[:-1]))])

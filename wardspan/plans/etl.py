@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Container, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,15 +19,23 @@ from wardspan.plans.quality import hidden_report, quality_report
 from wardspan.runtime import remove_folder, scratch_run, stage
 from wardspan.schemas import CDM
 from wardspan.sources.tables import (
+    BUILDS,
     LAYOUTS,
     check_free,
-    move_tables,
+    check_sources,
+    commit_build,
+    fingerprint,
+    list_files,
     read_cdm,
+    read_source_lenient,
     read_sources,
     read_vocabulary,
     write_table,
+    write_text,
 )
 
+DONE = "done"  # the notes of an unfinished build
+
 # Source tables that the steps read; the other four of the export may be present or not.
 NEEDED = (
     "allergies",
@@ -71,6 +80,7 @@ class Build:
     classes: VisitClasses = CLASSES
     work: dict[str, DataFrame] = field(default_factory=dict)
     done: dict[str, DataFrame] = field(default_factory=dict)
+    hold: Callable[[DataFrame, str], DataFrame] = stage  # stores a work table
 
 
 @dataclass(frozen=True)
@@ -79,28 +89,29 @@ class StepResult:
     ok: bool
     seconds: float
     error: str | None = None
+    reused: bool = False  # from a build that did not finish
 
 
 def _maps(b: Build) -> None:
     v = b.vocabulary
     concept, custom = v["concept"], v["source_to_concept_map"]
     standard = source_to_standard(concept, v["concept_relationship"], custom)
-    b.work["standard"] = stage(standard, "source_to_standard")
-    b.work["own"] = stage(source_to_source(concept, custom), "source_to_source")
+    b.work["standard"] = b.hold(standard, "standard")
+    b.work["own"] = b.hold(source_to_source(concept, custom), "own")
 
 
 def _visits(b: Build) -> None:
     encounters = b.source["encounters"]
-    b.work["visits"] = visits.roll_up(encounters, b.classes)
+    b.work["visits"] = b.hold(visits.roll_up(encounters, b.classes), "visits")
     final_ids = visits.final_visit_ids(encounters, b.work["visits"], b.classes)
-    b.work["final_ids"] = stage(final_ids, "final_visit_ids")
+    b.work["final_ids"] = b.hold(final_ids, "final_ids")
 
 
 def _context(b: Build) -> None:
     context = visits.encounter_context(
         b.source["encounters"], b.work["final_ids"], b.done["provider"]
     )
-    b.work["context"] = stage(context, "encounter_context")
+    b.work["context"] = b.hold(context, "context")
 
 
 def _event_inputs(b: Build) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -126,6 +137,9 @@ def _cost(b: Build) -> DataFrame:
     )
 
 
+# What steps that return no table leave behind.
+WORK = {"vocabulary_maps": ("standard", "own"), "visit_rollup": ("visits", "final_ids"), "encounter_context": ("context",)}
+
 # In order of need. A step returns its finished table, or fills ``work`` and returns nothing.
 STEPS: dict[str, Callable[[Build], DataFrame | None]] = {
     "vocabulary_maps": _maps,
@@ -176,20 +190,28 @@ def build_tables(
     keep: Callable[[str, DataFrame], DataFrame],
     steps: Iterable[str] = tuple(STEPS),
     keep_going: bool = False,
+    finished: Container[str] = (),
+    note: Callable[[str], None] = lambda step: None,
 ) -> list[StepResult]:
     """Run the steps in order. ``keep`` stores a finished table and gives the stored one back.
 
     A failing step ends the build, or with ``keep_going`` is recorded and the later steps still run.
+    Steps in ``finished`` are not run: what they made is in ``build`` already. ``note`` is told of
+    each step that is done.
     """
     results = []
     for name in steps:
         if name not in STEPS:
             raise ValueError(f"unknown step {name!r}; known: {', '.join(STEPS)}")
         began = time.monotonic()
+        if name in finished:
+            results.append(StepResult(name, True, 0.0, reused=True))
+            continue
         try:
             table = STEPS[name](build)
             if table is not None:
                 build.done[name] = keep(name, table)
+            note(name)
             results.append(StepResult(name, True, time.monotonic() - began))
         except Exception as problem:  # noqa: BLE001 - a step may fail in any way
             if not keep_going:
@@ -212,51 +234,107 @@ def run_etl(
     overwrite: bool = False,
     layout: str = "parquet",
     report: str | None = None,
+    multi_line: bool = False,
+    bad_rows: str = "fail",
+    resume: bool = False,
 ) -> list[StepResult]:
     """Build every CDM table from files and write it to ``out``, as Parquet or, with ``layout``
     "tsv", as tab-separated text. With ``report`` the quality report of sources and tables is
     written to that folder as Parquet, in place of an older one.
 
     Each table is written once and read back by the steps that need it, so a lost executor costs
-    only its tasks. Tables that no step fills are written empty; work tables are dropped at the end.
-    A folder that already holds something is only replaced with ``overwrite``. Tables are built in a
-    folder beside ``out`` and moved there when the build is over, so a build that fails leaves what
-    was there before as it is.
+    only its tasks. Tables that no step fills are written empty.
+
+    Tables go to ``out/builds/<build>``; when all is written, the file ``out/CURRENT`` is replaced by
+    one that names the build, which ``cdm_folder`` and ``read_cdm`` follow. So readers see the tables
+    of one build, never of two: with ``steps`` or ``keep_going`` those not built are not there. A
+    build that fails leaves the current one as it is; ``resume`` goes on with it, if inputs, their
+    files' times and all settings are the same, and does not run the steps that were done. The build
+    before stays until the next. A folder that has a build is only given a new one with ``overwrite``.
+
+    ``multi_line`` allows line breaks inside quotes in CSV. With ``bad_rows`` "reject" rows that do not
+    fit are left out and kept, with file and reason, in the table ``rejects.parquet`` of the build.
     """
+    steps = tuple(steps)
     if not overwrite:
-        check_free(spark, out)
+        check_free(spark, out, but=BUILDS)
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}: {' or '.join(LAYOUTS)}")
-    source = read_sources(spark, source_dir, NEEDED)
+    if bad_rows not in ("fail", "reject"):
+        raise ValueError(f"bad_rows: fail or reject, not {bad_rows!r}")
+    names = check_sources(spark, source_dir, NEEDED)
+    inputs = fingerprint(spark, (source_dir, vocabulary_dir), steps, describe, day, classes, layout, multi_line, bad_rows)
+    name = f"{inputs[:16]}-{uuid.uuid4().hex[:8]}"
+    if resume:
+        name = max((n for n in _unfinished(spark, out) if n.startswith(inputs[:16])), default=name)
+    building = f"{out.rstrip('/')}/{BUILDS}/{name}"
+    if bad_rows == "reject":
+        read = {t: read_source_lenient(spark, source_dir, t, multi_line) for t in names}
+        source = {t: rows for t, (rows, _) in read.items()}
+        rejects = reduce(DataFrame.unionByName, [bad for _, bad in read.values()])
+        rejects.write.mode("overwrite").parquet(f"{building}/rejects.parquet")
+    else:
+        source = read_sources(spark, source_dir, names, multi_line)
+
+    def hold(table: DataFrame, label: str) -> DataFrame:
+        table.write.mode("overwrite").parquet(f"{building}/work/{label}.parquet")
+        return spark.read.parquet(f"{building}/work/{label}.parquet")
+
     build = Build(
         source={t: tag_copies(df) if t in TAGGED else df for t, df in source.items()},
         vocabulary=read_vocabulary(spark, vocabulary_dir),
         describe=describe,
         day=day,
         classes=classes,
+        hold=hold,
     )
-
-    building = f"{out.rstrip('/')}-building-{uuid.uuid4().hex}"
+    finished = _done_before(spark, building, build) if resume else []
 
     def keep(name: str, table: DataFrame) -> DataFrame:
         write_table(table, building, name)
         return read_cdm(spark, building, name)
 
-    try:
-        with scratch_run(spark):
-            for name in CDM.keys() - STEPS.keys():
-                write_table(empty_table(spark, CDM[name]), building, name)
-            results = build_tables(build, keep, steps, keep_going)
-            if report and "standard" in build.work:
-                checked = quality_report(source, build.work["standard"], build.done)
-                hidden = hidden_report(source["encounters"], classes)
-                checked.unionByName(hidden).write.mode("overwrite").parquet(report)
-        finished = building
+    def note(step: str) -> None:
+        write_text(spark, f"{building}/{DONE}/{step}", inputs)
+
+    with scratch_run(spark):
+        for empty in CDM.keys() - STEPS.keys():
+            write_table(empty_table(spark, CDM[empty]), building, empty)
+        results = build_tables(build, keep, steps, keep_going, finished, note)
+        checked = None
+        if report and "standard" in build.work:
+            checked = quality_report(source, build.work["standard"], build.done)
+            checked = stage(checked.unionByName(hidden_report(source["encounters"], classes)), "report")
         if layout != "parquet":
-            finished = f"{building}/{layout}"
-            for name in [*build.done, *(CDM.keys() - STEPS.keys())]:
-                write_table(read_cdm(spark, building, name), finished, name, layout)
-        move_tables(spark, finished, out)
-    finally:
-        remove_folder(spark, building)
+            for table in [*build.done, *(CDM.keys() - STEPS.keys())]:
+                write_table(read_cdm(spark, building, table), building, table, layout)
+                remove_folder(spark, f"{building}/{table}.parquet")
+        remove_folder(spark, f"{building}/work")
+        remove_folder(spark, f"{building}/{DONE}")
+        commit_build(spark, out.rstrip("/"), name)
+        if checked is not None:
+            checked.write.mode("overwrite").parquet(report)
     return results
+
+
+def _unfinished(spark: SparkSession, out: str) -> list[str]:
+    """Names of the builds that still have notes of their steps."""
+    try:
+        builds = list_files(spark, f"{out.rstrip('/')}/{BUILDS}")
+    except FileNotFoundError:
+        return []
+    return [name for name, path in builds.items() if DONE in list_files(spark, path)]
+
+
+def _done_before(spark: SparkSession, building: str, build: Build) -> list[str]:
+    """Steps that an unfinished build has done; their tables are put into ``build``."""
+    try:
+        steps = [s for s in list_files(spark, f"{building}/{DONE}") if s in STEPS]
+    except FileNotFoundError:
+        return []
+    for step in steps:
+        for label in WORK.get(step, ()):
+            build.work[label] = spark.read.parquet(f"{building}/work/{label}.parquet")
+        if step not in WORK:
+            build.done[step] = read_cdm(spark, building, step)
+    return steps

@@ -2,11 +2,13 @@
 
 from wardspan.sources.tables import (
     bundle_name,
+    cdm_folder,
     empty_cdm,
-    move_tables,
     read_cdm,
+    read_csv_lenient,
     read_csv_table,
     read_source,
+    read_source_lenient,
     read_sources,
     read_vocabulary,
     read_vocabulary_text,
@@ -17,11 +19,13 @@ from wardspan.sources.tables import (
 
 __all__ = [
     "bundle_name",
+    "cdm_folder",
     "empty_cdm",
-    "move_tables",
     "read_cdm",
+    "read_csv_lenient",
     "read_csv_table",
     "read_source",
+    "read_source_lenient",
     "read_sources",
     "read_vocabulary",
     "read_vocabulary_text",
