@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from wardspan.llm import langid
 from wardspan.llm.common import crc_of_id
 from wardspan.llm.decontamination import mark_contamination
+from wardspan.llm.mixing import mix
+from wardspan.llm.sharding import shard
 
 LARGE = "/root/testdata/sf0.1"
 
@@ -74,3 +76,41 @@ def test_copies_do_not_hide_a_language(spark):
     assert model.languages == sorted(["y", "z", *[f"l{i}" for i in range(20)]])
     sample = langid.labelled_sample(copied, 400, 4000).collect()
     assert sorted((r.text, r.lang) for r in sample) == sorted(texts)
+
+
+def test_long_texts_are_cut_in_one_pass(spark):
+    """Windows of all widths across the pieces of a text; a window never meets the words of a whole text."""
+    words = [f"w{i % 997}x{i % 13}" for i in range(100_000)]
+    places = [0, 57, 63, 64, 70, 127, 128, 5000, 99_990]
+    items = [(k, " ".join(words[p : p + 10])) for k, p in enumerate(places)]
+    items += [(20, "alpha, beta"), (21, "gamma"), (22, " ".join(words[99_997:])), (23, "nowhere at all")]
+    text = " ".join(words)
+    docs = spark.createDataFrame([(1, text), (2, "Alpha Beta gamma"), (3, "alpha"), (4, None), (5, "")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in mark_contamination(docs, bench).collect()}
+    hit = set()
+    for _, item in items:
+        part = item.replace(",", "").split()
+        for p in range(len(words) - len(part) + 1):
+            if words[p] == part[0] and words[p : p + len(part)] == part:
+                hit |= set(range(p, p + len(part)))
+    assert got == {1: (100_000, len(hit), 10), 2: (3, 3, 2), 3: (1, 0, 0), 4: (0, 0, 0), 5: (0, 0, 0)}
+
+
+# Rows that repeat, and columns of any name
+
+
+def test_a_repeated_row_meets_its_target(spark):
+    """Rows alike in id and text are drawn one by one, and columns may have the operators' names."""
+    one = spark.range(200).select(F.lit(7).cast("long").alias("doc_id"), F.lit("five words are in here").alias("text"), F.lit("a").alias("source"))
+    rest = spark.range(400).selectExpr("id AS doc_id", "concat('t', id, ' two') AS text", "'b' AS source")
+    names = ("whole", "cut", "u", "key", "source_key", "doc", "_position", "_start", "_inner", "_bucket", "arc", "at", "first", "rest", "turn", "Size")
+    docs = one.unionByName(rest).withColumns({n: F.lit("keep") for n in names})
+    for _ in range(2):
+        rows = mix(docs, weights=(5, 20)).collect()
+        assert len(rows) == 600 and all(r[n] == "keep" for r in rows for n in names if n != "Size")
+        for source in "ab":
+            some = [r for r in rows if r.source == source]
+            assert abs(sum(r.size * r.copies for r in some) - some[0].target) <= 5, source
+    placed = shard(docs, shards=7).collect()
+    assert len(placed) == 600 and all(r[n] == "keep" for r in placed for n in names if n != "Size")

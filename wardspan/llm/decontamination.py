@@ -1,7 +1,8 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams, scanned against token windows.
 
 A window of the benchmark is ``n`` consecutive words of an item, or the whole item if it has fewer.
-Documents are cut into windows of the same widths inside their row. The hash of a window's first
+Documents are cut into pieces of ``PIECE`` places, and these into windows of the same widths, so that
+no row of a window carries more than its piece, however long the text is. The hash of a window's first
 words is looked up first, as most windows end there; those that begin like one of the benchmark are
 looked up as a whole in the broadcast set, and what is found is verified word by word. Only verified
 hits are shuffled. A set too large to broadcast is joined by a shuffle that moves one hash and place a
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardspan.llm.common import fresh_name, plain_words
-from wardspan.runtime import stage
+from wardspan.runtime import BROADCAST_BYTES, stage
 
 # The words of a text as it stands, upper case included, and what lies between them.
 _WORD, _GAP = r"[0-9A-Za-z\P{ASCII}]", r"[\p{ASCII}&&[^0-9A-Za-z]]"
@@ -22,6 +23,7 @@ _WORD, _GAP = r"[0-9A-Za-z\P{ASCII}]", r"[\p{ASCII}&&[^0-9A-Za-z]]"
 # Windows that may be broadcast, at about 200 bytes each. Beyond, the join is shuffled.
 BROADCAST_WINDOWS = 500_000
 LEAD = 4  # words that are looked up first
+PIECE = 64  # places of a text whose windows are cut from one row
 
 
 def _window_hash(word_hashes: Column, start: Column, width: int) -> Column:
@@ -55,22 +57,55 @@ def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _broadcast_hits(raw: DataFrame, texts: DataFrame, grams: DataFrame, width: int) -> DataFrame:
-    first = min(LEAD, width)
-    hashes, cut = _windows(F.col("words"), width, first)
-    key = _window_hash(F.col("word_hashes"), F.lit(0), width)
-    lead = _window_hash(F.col("word_hashes"), F.lit(0), first)
-    leads = F.broadcast(grams.select(lead.alias("lead")).distinct())  # no more than windows
-    grams = F.broadcast(grams.select(key.alias("hash"), "window", "items"))
-    spread = texts.withColumn("word_hashes", hashes).select(
-        "text_md5", "words", "word_hashes", F.posexplode(cut).alias("at", "lead")
-    )
-    alike = spread.join(leads, "lead", "left_semi")
-    alike = alike.withColumn("hash", _window_hash(F.col("word_hashes"), F.col("at"), width))
-    real = F.lit(True)
-    for k in range(width):
-        real &= F.get("words", F.col("at") + k) == F.get("window", F.lit(k))
-    return alike.join(grams, "hash").filter(real)
+def _pieces(words: Column, reach: int) -> Column:
+    """``PIECE`` places each, with the words up to ``reach`` beyond. The words are bound to a name in
+    the expression, as slicing an array that was written to a row copies all of it."""
+
+    def cut(words: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(PIECE))
+        return F.transform(
+            starts, lambda s: F.struct(s.alias("start"), F.slice(words, s + 1, PIECE + reach).alias("words"))
+        )
+
+    return F.get(F.transform(F.array(words), cut), F.lit(0))
+
+
+def _broadcast_hits(raw: DataFrame, grams: DataFrame, widths: list[int]) -> DataFrame:
+    """Hits of all ``widths``, which are cut in one pass."""
+    pieces = raw.select("text_md5", F.explode(_pieces(plain_words(F.col("text")), max(widths) - 1)).alias("p"))
+    pieces = pieces.select("text_md5", F.col("p.start").alias("start"), F.col("p.words").alias("words"))
+    hashed = pieces.withColumn("word_hashes", F.transform("words", lambda w: F.xxhash64(w)))
+
+    def windows(width: int) -> Column:
+        first = min(LEAD, width)
+        last = F.least(F.size("word_hashes") - width, F.lit(PIECE - 1))
+        cut = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: F.struct(
+                i.alias("at"), F.lit(width).alias("width"), _window_hash(F.col("word_hashes"), i, first).alias("lead")
+            ),
+        )
+        none = F.array().cast("array<struct<at:int,width:int,lead:bigint>>")
+        return F.when(F.size("word_hashes") >= width, cut).otherwise(none)
+
+    def by_width(at: Column, upto) -> Column:
+        """Hash of a window of any of the widths."""
+        found = F.lit(None).cast("long")
+        for width in widths:
+            found = F.when(F.col("width") == width, _window_hash(F.col("word_hashes"), at, upto(width))).otherwise(found)
+        return found
+
+    zero = F.lit(0)
+    leads = grams.select("width", by_width(zero, lambda w: min(LEAD, w)).alias("lead")).distinct()
+    grams = grams.select("width", by_width(zero, lambda w: w).alias("hash"), "window", "items")
+    cut = windows(widths[0]) if len(widths) == 1 else F.concat(*[windows(w) for w in widths])
+    spread = hashed.select("text_md5", "start", "words", "word_hashes", F.explode(cut).alias("w"))
+    spread = spread.select("text_md5", "start", "words", "word_hashes", "w.*")
+    alike = spread.join(F.broadcast(leads), ["width", "lead"], "left_semi")  # no more than windows
+    alike = alike.withColumn("hash", by_width(F.col("at"), lambda w: w))
+    real = F.slice("words", F.col("at") + 1, F.col("width")) == F.col("window")
+    found = alike.join(F.broadcast(grams), ["width", "hash"]).filter(real)
+    return found.select("text_md5", (F.col("start") + F.col("at")).alias("at"), "width", "items")
 
 
 def _shuffled_hits(raw: DataFrame, texts: DataFrame, grams: DataFrame, width: int) -> DataFrame:
@@ -99,16 +134,16 @@ def find_hits(
     """One row per distinct text with hits: ``text_md5``, ``hit_words`` (0-based positions, sorted)
     and ``hit_items`` (item_ids with windows in it). Copies of a text are found as one."""
     windows = stage(benchmark_windows(benchmark, n), "benchmark-windows")
-    sizes = {r["width"]: r["count"] for r in windows.groupBy("width").count().collect()}  # <= n rows
+    length = F.octet_length(F.array_join("window", " ")) + 24 * F.size("items")
+    sizes = windows.groupBy("width").agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("bytes")).collect()  # <= n rows
+    small = sorted(r["width"] for r in sizes if r["n"] <= broadcast_windows and r["bytes"] <= BROADCAST_BYTES)
+    large = sorted({r["width"] for r in sizes} - set(small))
     raw = docs.filter(F.col("text").isNotNull()).select(F.md5("text").alias("text_md5"), "text")
     texts = raw.select("text_md5", plain_words(F.col("text")).alias("words"))
-    found = None
-    for width, count in sorted(sizes.items()):
-        grams = windows.filter(F.col("width") == width).withColumn(
-            "word_hashes", F.transform("window", lambda w: F.xxhash64(w))
-        )
-        look_up = _broadcast_hits if count <= broadcast_windows else _shuffled_hits
-        hits = look_up(raw, texts, grams, width).select(
+    hashed = windows.withColumn("word_hashes", F.transform("window", lambda w: F.xxhash64(w)))
+    found = _broadcast_hits(raw, hashed.filter(F.col("width").isin(small)), small) if small else None
+    for width in large:
+        hits = _shuffled_hits(raw, texts, hashed.filter(F.col("width") == width), width).select(
             "text_md5", "at", F.lit(width).alias("width"), "items"
         )
         found = hits if found is None else found.unionByName(hits)

@@ -18,20 +18,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardspan.llm.common import HEX_RANGE, count_words, fresh_name, hash_number
-from wardspan.runtime import stage
+from wardspan.llm.common import HEX_RANGE, count_words, hash_number
+from wardspan.operators import dense_ids
+from wardspan.runtime import broadcast_within, stage
 
 BINS = 65_536
 
 
-def chance(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """A number in (0, 1) that follows from id and text, so that reruns agree."""
-    of = F.concat(
+def identity(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Id and text of a document in a short text."""
+    return F.concat(
         F.coalesce(F.col(doc_id).cast("string"), F.lit("")),
         F.lit(":"),
         F.md5(F.coalesce(F.col(text), F.lit(""))),
     )
-    return (hash_number(of) + 0.5) / HEX_RANGE
+
+
+def chance(of: Column | None = None) -> Column:
+    """A number in (0, 1) that follows from id and text, so that reruns agree."""
+    return (hash_number(identity() if of is None else of) + 0.5) / HEX_RANGE
 
 
 def source_targets(
@@ -78,23 +83,33 @@ def mix(
 ) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with columns ``size`` (words), ``source_size``,
     ``target`` and ``copies``, how often the mix takes the document. Columns of these names in
-    ``docs`` are replaced; all others are kept.
+    ``docs`` are replaced; all others are kept, under any names.
 
     A null text has size 0. Documents of size 0 follow the same rule, as they do not count.
-    Null sources are one source. Rows alike in id and text get the same number of copies.
-    An empty table gives an empty table.
+    Null sources are one source. Rows alike in id and text are drawn one by one, by their turn among
+    each other, so that a source of one repeated row meets its target too; which of them is taken
+    once more follows from their other columns. An empty table gives an empty table. Sizes are staged
+    when this is called.
     """
-    docs = docs.drop("size", "source_size", "target", "copies")
-    sized = docs.withColumn("size", count_words(F.col("text")))
-    narrow = stage(sized.select("source", "size", chance().alias("u")), "mix-sizes")
-    cuts = _cuts(narrow, weights, share, most)
-
-    u, key = fresh_name(docs, "u"), fresh_name(docs, "source_key")
-    cuts = cuts.withColumnRenamed("source", key)
-    joined = sized.withColumn(u, chance()).join(cuts, F.col("source").eqNullSafe(F.col(key)), "left")
-    extra = F.col(u) < F.col("cut")
+    kept = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "copies")]
+    # The caller's columns travel in one, so that no name of theirs meets one used here.
+    sized = docs.select(
+        F.struct(*kept).alias("doc"),
+        "source",
+        count_words(F.col("text")).alias("size"),
+        identity().alias("key"),
+        chance().alias("u"),
+    )
+    narrow = stage(sized.select("source", "size", "u"), "mix-sizes")
+    again = stage(narrow.groupBy("u").count().filter("count > 1").select("u"), "mix-again")
+    if not again.isEmpty():
+        sized = _one_by_one(sized, again)
+        narrow = stage(sized.select("source", "size", "u"), "mix-sizes")
+    cuts = _cuts(narrow, weights, share, most).withColumnRenamed("source", "source_key")
+    joined = sized.join(cuts, F.col("source").eqNullSafe(F.col("source_key")), "left")
+    extra = F.col("u") < F.col("cut")
     return joined.select(
-        *docs.columns,
+        *[F.col("doc")[c].alias(c) for c in kept],
         "size",
         "source_size",
         "target",
@@ -102,6 +117,20 @@ def mix(
     )
 
 
+def _one_by_one(sized: DataFrame, again: DataFrame) -> DataFrame:
+    """A number of its own for each of the rows that share one: the first keeps it."""
+    again = broadcast_within(again)
+    kinds = {f.name: f.dataType.simpleString() for f in sized.schema["doc"].dataType.fields}
+    rest = [F.col("doc")[c] for c, kind in kinds.items() if c != "text" and "map" not in kind and "variant" not in kind]
+    many = sized.join(again, "u", "left_semi").withColumn("rest", F.xxhash64(F.lit(0), *rest))
+    placed = dense_ids(many, ["key", "source", "rest"], "at")
+    firsts = broadcast_within(placed.groupBy("key").agg(F.min("at").alias("first")))
+    turn = F.col("at") - F.col("first")
+    other = chance(F.concat("key", F.lit(":"), turn.cast("string")))
+    turned = placed.join(firsts, "key").withColumn("u", F.when(turn == 0, F.col("u")).otherwise(other))
+    return sized.join(again, "u", "left_anti").unionByName(turned.select(*sized.columns))
+
+
 def _cuts(narrow: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
     """One row per source: target, whole copies of every document, and the u below which documents are
     taken once more."""

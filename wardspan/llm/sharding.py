@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardspan.llm.common import HEX_DIGITS, fresh_name, hash_number
+from wardspan.llm.common import HEX_DIGITS, hash_number
 from wardspan.operators import dense_ids
 from wardspan.runtime import stage
 
@@ -102,8 +102,8 @@ def shard(
     """``docs`` (doc_id, text, ...) with ``size``, ``text_crc32``, ``law``, ``shard``, ``slot`` and
     ``grown_shard`` (null: the law is about rows, so it does not follow from an id alone).
 
-    ``keep`` names the columns of ``docs`` to carry through the shuffle, all by default. Columns with
-    the names of the new ones are replaced. ``size`` is the UTF-8 bytes of the text plus 8; a null
+    ``keep`` names the columns of ``docs`` to carry through the shuffle, all by default, under any
+    names. Columns with the names of the new ones are replaced. ``size`` is the UTF-8 bytes of the text plus 8; a null
     text has none and a checksum of 0. Null texts and empty texts stand at the same place. Rows of
     one text follow by doc_id, nulls last, then by a hash of the other columns; rows alike in all that
     are kept can stand for one another. An empty table gives an empty table. Not lazy: the rows are
@@ -111,10 +111,8 @@ def shard(
     """
     spark = docs.sparkSession
     added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    arc, turn, place, row = (
-        fresh_name(docs.select(*kept), c) for c in ("arc", "turn", "place", "ring_row")
-    )
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
+    arc, turn, place, row = "arc", "turn", "place", "ring_row"
     points = ring_points(shards, replicas)
     positions = [p for p, _ in points]
     width = RING // BUCKETS
@@ -125,15 +123,16 @@ def shard(
     )
     text = F.coalesce("text", F.lit(""))
     position = hash_number(text)
+    # The caller's columns travel in one, so that no name of theirs meets one used here.
     placed = docs.select(
-        *kept,
+        F.struct(F.lit(0).alias("_none"), *kept).alias("doc") if not kept else F.struct(*kept).alias("doc"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         position.alias("_position"),
     ).withColumn("_bucket", F.floor(F.col("_position") / width).cast("int"))
     # BUCKETS rows, whatever the data.
     placed = placed.join(F.broadcast(table), "_bucket").select(
-        *kept,
+        "doc",
         "size",
         "text_crc32",
         _arc(F.col("_position"), F.col("_start"), F.col("_inner"), len(points)).alias(arc),
@@ -144,8 +143,8 @@ def shard(
     rows = stage(placed.withColumn(row, F.monotonically_increasing_id()), "ring-rows")
     rest = [c for c in kept if c not in ("doc_id", "text") and _can_hash(docs, c)]
     narrow = rows.select(
-        row, arc, turn, F.col("doc_id" if "doc_id" in kept else "size").alias("_id"), "text_crc32", "size",
-        F.xxhash64(F.lit(0), *rest).alias("_rest"),
+        row, arc, turn, F.col("doc.doc_id" if "doc_id" in kept else "size").alias("_id"), "text_crc32", "size",
+        F.xxhash64(F.lit(0), *[F.col("doc")[c] for c in rest]).alias("_rest"),
     )
     numbered = dense_ids(narrow, [turn, "_id", "text_crc32", "size", "_rest", row], place)
     counts = {r[0]: r[1] for r in numbered.groupBy(arc).count().collect()}
@@ -160,7 +159,7 @@ def shard(
     )
     found = found.select(row, "shard", (F.col("_slot") + at - F.col("_first")).alias("slot"))
     return rows.join(found, row).select(
-        *kept,
+        *[F.col("doc")[c].alias(c) for c in kept],
         "size",
         "text_crc32",
         F.lit("bounded" if slack else "rows").alias("law"),
