@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from wardspan.llm import langid
+from wardspan.llm import langid, warc
 from wardspan.llm.common import crc_of_id
 from wardspan.llm.decontamination import mark_contamination
 from wardspan.llm.mixing import mix
 from wardspan.llm.sharding import shard
+from wardspan.runtime import fresh_folder
 
 LARGE = "/root/testdata/sf0.1"
 
@@ -114,3 +118,38 @@ def test_a_repeated_row_meets_its_target(spark):
             assert abs(sum(r.size * r.copies for r in some) - some[0].target) <= 5, source
     placed = shard(docs, shards=7).collect()
     assert len(placed) == 600 and all(r[n] == "keep" for r in placed for n in names if n != "Size")
+
+
+# WARC
+
+
+@pytest.mark.parametrize("block", [1000, 1 << 20])
+def test_headers_longer_than_blocks(spark, block):
+    """A url may be as long as it likes; what looks like a record in a payload is none."""
+    false = "x WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n"
+    rows = [
+        (1, "http://a/" + "u" * 70_000, "one"),
+        (2, "http://b/" + "v" * 1_300_000, false + "y" * 2000),
+        (3, None, "one"),
+        (4, "http://c/", "WARC/1.1\r\n" * 50 + "end"),
+        (5, "http://d/" + "w" * 66_000, "é" * 50_000 + "\r\n\r\n" + false * 3),
+    ]
+    folder = fresh_folder(spark, "long-heads")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    records = warc.read_archive(spark, folder, block)
+    got = {r.page_id: tuple(r)[1:] for r in warc.page_digests(records).collect()}
+    code = lambda html: base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+    want = {k: (len(h.encode()), code(h), "response", None) for k, _, h in rows}
+    want[1] = (3, code("one"), "revisit", 3)
+    assert got == want
+    assert sorted(len(r.url or "") for r in records.collect()) == sorted(len(u or "") for _, u, _ in rows)
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_MOST", 20_000)
+    rows = [(k, "u", "z" * (9000 if k == 5 else 10)) for k in range(12)]
+    folder = fresh_folder(spark, "small-files")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    sizes = [r.length for r in spark.read.format("binaryFile").load(folder).select("length").collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 20_000
+    assert warc.read_archive(spark, folder).count() == 12

@@ -25,7 +25,9 @@ END = "\r\n"
 BETWEEN = END * 2  # after a header, and after a record
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
 BLOCK = 1 << 20
-HEAD = 1 << 16  # a header, with the one of the payload, is at most this long
+HEAD = 1 << 16  # bytes of the next block that a block is read with
+HEAD_MOST = 1 << 26  # a header, with the one of the payload, is at most this long
+FILE_MOST = 1 << 30  # bytes of a file
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -49,8 +51,12 @@ def write_archive(
     Of records with equal payloads of at least ``least_bytes`` bytes the one with the largest page_id
     is a response and the others are revisits of it; rows that share that page_id too are all
     responses. A null html is an empty payload, a null url is left out, a null page_id comes after
-    all others. Only digests that repeat are joined back.
+    all others. Only digests that repeat are joined back. Files hold at most ``records_per_file``
+    records, and fewer if the longest would make them larger than ``FILE_MOST``.
     """
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in ("html", "url")]
+    longest = (pages.agg(F.max(sum(lengths, F.lit(1024)).cast("long"))).first()[0] or 0)
+    records_per_file = max(min(records_per_file, FILE_MOST // max(longest, 1)), 1)
     digest, keeper, n = (fresh_name(pages, c) for c in ("digest", "keeper", "n"))
     payload = F.coalesce("html", F.lit(""))
     pages = pages.withColumn(digest, base32(F.sha1(payload.cast("binary"))))
@@ -114,19 +120,28 @@ def _number(value: bytes | None) -> int | None:
     return int(value) if value and value.isdigit() and len(value) < 19 else None
 
 
+class _Unfinished(Exception):
+    """A header goes on after the data at hand."""
+
+
 def _parse(data: bytes, at: int, start: int, path: str, length: int) -> _Open | None:
     """The candidate at ``at`` in ``data``, which begins at ``start`` in its file."""
-    head_end = data.find(b"\r\n\r\n", at, at + HEAD)
+    more = start + len(data) < length and len(data) - at < HEAD_MOST
+    head_end = data.find(b"\r\n\r\n", at)
     if head_end < 0:
+        if more:
+            raise _Unfinished
         return None
     fields = _fields(data[at:head_end])
     size = _number(fields.get(b"content-length"))
     if size is None:
         return None
     body = head_end + 4
-    http_end = data.find(b"\r\n\r\n", body, min(body + size, at + HEAD))
-    said, payload = None, body
-    if fields.get(b"content-type", b"").startswith(b"application/http") and http_end >= 0:
+    http_end = data.find(b"\r\n\r\n", body, body + size)
+    said, payload, http = None, body, fields.get(b"content-type", b"").startswith(b"application/http")
+    if http and http_end < 0 and more and body + size > len(data):
+        raise _Unfinished
+    if http and http_end >= 0:
         payload = http_end + 4
         said = _number(_fields(data[body:http_end]).get(b"content-length"))
     text = {k: v.decode("utf-8", "replace") for k, v in fields.items()}
@@ -153,18 +168,29 @@ def _schema() -> pa.Schema:
 
 def _candidates(block: int):
     """Blocks of files in order in, candidates out. A block is followed by HEAD bytes of the next
-    one; payloads that go on over blocks are hashed piece by piece."""
+    one. A header that ends after these waits for the next block, and payloads that go on over blocks
+    are hashed piece by piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, path, waiting = _schema(), None, []
+        schema, path, waiting, begun = _schema(), None, [], []
         for batch in batches:
             done = []
             for k in range(batch.num_rows):
                 name, length, start, data = (batch.column(i)[k].as_py() for i in range(4))
                 if name != path:
-                    path, waiting = name, []  # what waits here was cut off at the end of its file
-                for found in MAGIC.finditer(data, 0, min(len(data), block + 10)):
-                    if found.start() < block and (one := _parse(data, found.start(), start, name, length)):
+                    path, waiting, begun = name, [], []  # what waits here was cut off at the end of its file
+                # Beginnings of records as (their bytes so far, where they start), then new ones.
+                starts = [(head + data, at, 0) for head, at in begun]
+                hits = (m.start() for m in MAGIC.finditer(data, 0, min(len(data), block + 10)))
+                starts += [(data, start, at) for at in hits if at < block]
+                begun = []
+                for text, origin, at in starts:
+                    try:
+                        one = _parse(text, at, origin, name, length)
+                    except _Unfinished:
+                        begun.append((text[at : start + block - origin], origin + at))
+                        continue
+                    if one:
                         waiting.append(one)
                 still = []
                 for one in waiting:
@@ -208,7 +234,7 @@ def read_archive(spark: SparkSession, folder: str, block: int = BLOCK) -> DataFr
     and size the header names, and those of the payload as it stands in the file.
 
     Files are read as a whole by the JVM (at most 2 GB each) and in blocks by Python. Headers are at
-    most ``HEAD`` bytes. Raises if the chain of a file does not end where the file ends.
+    most ``HEAD_MOST`` bytes. Raises if the chain of a file does not end where the file ends.
     """
     files = spark.read.format("binaryFile").load(folder).filter("length > 0")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(block).cast("long"))
