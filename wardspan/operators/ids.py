@@ -55,7 +55,8 @@ def dense_ids(
         keys.append(F.col(COPY).asc())
     ranges = cut_ranges(like, _leading(like, order)) if like else None
     if ranges and ranges.repeated is None:
-        ranged = ranges.deal(df).drop(RANGE).sortWithinPartitions(*keys)
+        dealt = df.repartition(1) if ranges.count == 1 else ranges.deal(df).drop(RANGE)
+        ranged = dealt.sortWithinPartitions(*keys)
     else:
         # Range partitioning samples its input first; from a staged table that is a plain read.
         ranged = stage(df, f"{name}-rows").repartitionByRange(*keys).sortWithinPartitions(*keys)

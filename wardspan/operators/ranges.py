@@ -68,8 +68,9 @@ class Ranges:
         return df.withColumn(RANGE, F.get(F.transform(F.array(key), find), F.lit(0)))
 
     def deal(self, df: DataFrame) -> DataFrame:
-        """``df`` with each range in a partition of its own."""
-        return self.assign(df).repartitionById(self.count, F.col(RANGE))
+        """``df`` with each range in a partition of its own; a single range is left as it lies."""
+        assigned = self.assign(df)
+        return assigned if self.count == 1 else assigned.repartitionById(self.count, F.col(RANGE))
 
     def on_cuts(self, df: DataFrame, key: str) -> DataFrame:
         """(key, range) of each key of ``df`` that may lie in more than one range, for the ranges it
