@@ -17,7 +17,7 @@ import corpus_pipeline
 import __spark_entry__ as driver
 from wardspan.llm import langid, warc
 from wardspan.llm.common import crc_of_id
-from wardspan.llm.lm import log10_words, score_texts, train
+from wardspan.llm.lm import huffman, log10_paths, log10_words, score_texts, train, train_paths
 from wardspan.llm.neighbours import nearest
 from wardspan.llm.queries import op1_language_id, op2_nearest_neighbours
 from wardspan.runtime import fresh_folder
@@ -127,7 +127,8 @@ def test_scores(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int").repartition(3)
     held_out = F.pmod(F.coalesce("doc_id", F.lit(3)), F.lit(10)) == 0
     results = [
-        score_texts(docs, held_out, F.col("lang"), keep=["doc_id", "text"], frequent=f).collect() for f in (10, 10_000)
+        score_texts(d, held_out, keep=["doc_id", "text"], coded=50, frequent=f).collect()
+        for d, f in ((docs, 10), (docs.repartition(7, "text"), 10_000))
     ]
     def cut(t):
         return [w for w in re.split("[\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if w] + [""]
@@ -138,8 +139,8 @@ def test_scores(spark):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(w in trained for w in tokens), n)
         assert r.base_score == pytest.approx(sum(math.log10((trained[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens))
         assert r.score < 0 and r.bits_per_byte == pytest.approx(-r.score / math.log10(2) / (len(" ".join(tokens[:-1]).encode()) + (len(tokens) > 1) + 1))
-    keyed = [sorted((str(r.doc_id), r.text or "", round(r.score, 6), round(r.base_score, 6)) for r in x) for x in results]
-    assert keyed[0] == keyed[1]  # both ways to look a word up
+    keyed = [sorted((str(r.doc_id), r.text or "", round(r.score, 8), round(r.base_score, 6)) for r in x) for x in results]
+    assert keyed[0] == keyed[1]  # both ways to look a word up, and rows dealt in another way
     tests = [r for r in results[0] if r.held_out and r.doc_id < 1000]
     assert sum(r.score for r in tests) > sum(r.base_score for r in tests)
     assert score_texts(docs.limit(0), held_out).count() == 0
@@ -147,11 +148,63 @@ def test_scores(spark):
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in nothing)
 
 
+def test_order_of_words_counts(spark):
+    """Texts that follow a rule from word to word score higher than the same words shuffled."""
+    rng = random.Random(8)
+    names = [f"w{i}" for i in range(40)]
+
+    def follow(n):
+        at, out = rng.randrange(40), []
+        for _ in range(n):
+            at = (at * 3 + rng.choice([1, 7])) % 40
+            out.append(names[at])
+        return out
+
+    rows = [(i, follow(60)) for i in range(300)]
+    held = [(1000 + i, follow(60)) for i in range(20)]
+    mixed = [(2000 + i - 1000, rng.sample(w, len(w))) for i, w in held]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows + held + mixed], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in score_texts(docs, F.col("doc_id") >= 1000).collect()}
+    base = {r.doc_id: r.base_score for r in score_texts(docs, F.col("doc_id") >= 1000).collect()}
+    assert all(got[i] > got[i + 1000] + 20 and got[i] > base[i] + 30 for i, _ in held)
+
+
+def test_paths(spark):
+    """What may come next shares out its probability; counts after a context are those of the texts."""
+    texts = ["a b c a b", "b c", "", "a é zz"] * 30
+    rows = spark.createDataFrame([(t, False) for t in texts], "text string, held_out boolean")
+    words = [b"a", b"b", b"c"]
+    paths = huffman(words, [60, 120, 90, 90, 60])
+    model = train_paths(rows, paths, 420)
+    for history in ([], [b"a"], [b"b", b"c"], [b"zz"]):
+        before = log10_paths([history], model)[0] if history else 0.0
+        after = [log10_paths([[*history, w]], model)[0] for w in (b"q", b"", *words)]
+        assert sum(10 ** (x - before) for x in after) == pytest.approx(1, abs=1e-5)
+    codes = [paths.starts[i + 1] - paths.starts[i] for i in range(5)]
+    bits = sum(codes[paths.ids.get(w, 0)] for t in texts for w in [*t.encode().split(), b""])
+    assert model.tables[0].sum() == model.tables[1].sum() == bits
+    together, apart = log10_paths([[b"a", b"b"], [b"c"], [b""]], model), [[b"a", b"b"], [b"c"], [b""]]
+    assert [log10_paths([t], model)[0] for t in apart] == pytest.approx(list(together), abs=1e-12)
+    assert log10_paths([[b"a", b"b"]], model)[0] > log10_paths([[b"b", b"a"]], model)[0]
+
+
+def test_long_text_in_pieces(spark, monkeypatch):
+    """Contexts go on over the pieces that a long text is worked on in."""
+    from wardspan.llm import lm
+
+    rows = spark.createDataFrame([("a b c a b c " * 50, False)], "text string, held_out boolean")
+    model = train_paths(rows, huffman([b"a", b"b", b"c"], [1, 1, 100, 100, 100]), 301)
+    text = [b"a", b"b", b"c"] * 40 + [b"x", b"a"]
+    whole = log10_paths([text], model)[0]
+    monkeypatch.setattr(lm, "BATCH", 7)
+    assert log10_paths([text], model)[0] == pytest.approx(whole, abs=1e-9)
+
+
 def test_probabilities_add_up(spark):
     """What may follow a prefix shares out its probability: whatever is asked for, the first bytes
     of all words and the end never come to more than one."""
     words = spark.createDataFrame([("aba", 5), ("abc", 2), ("", 3), ("dé", 1)], "word string, n long")
-    model = train(words, tasks=2)
+    model = train(words, 4)
 
     def p(*words):
         return (10 ** log10_words(list(words), model)).sum()

@@ -46,8 +46,8 @@ def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
-    return score_texts(docs, crc_of_id("doc_id") % 10 == 0, kind=F.col("lang"), keep=["doc_id"])
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return score_texts(docs, crc_of_id("doc_id") % 10 == 0, keep=["doc_id"])
 
 
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
