@@ -906,6 +906,7 @@ WHERE drug_concept_id IN (SELECT concept_id FROM x_concept WHERE concept_class_i
   CASE WHEN o_orderkey % 7 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END || ',p' || o_custkey || ',e' || o_orderkey
     AS record,
   CASE WHEN o_orderkey % 7 = 0 THEN 'start' ELSE '' END AS reason FROM orders""",
+    "vocabulary_download": "SELECT * FROM x_standard",
     "write_cdm": "SELECT * FROM x_person",
     "run_etl": "SELECT * FROM x_cost",
     "table_rows": " UNION ALL ".join(

@@ -39,14 +39,17 @@ from wardspan.plans.etl import NEEDED, Build, build_tables, run_etl
 from wardspan.runtime import fresh_folder, stage
 from wardspan.schemas import CDM, SOURCE
 from wardspan.sources import (
+    empty_cdm,
     read_cdm,
     read_source,
     read_source_lenient,
     read_vocabulary,
     read_vocabulary_text,
+    vocab_tsv_to_parquet,
     write_cdm,
     write_table,
 )
+from wardspan.sources.tables import DOWNLOAD_TABLES
 
 DAY = dt.date(2024, 1, 1)
 DESCRIBE = {
@@ -309,6 +312,20 @@ def _vocabulary_text(c: Chart) -> DataFrame:
     return read_vocabulary(c.spark, f"{folder}/bundle")["concept"]
 
 
+def _vocabulary_download(c: Chart) -> DataFrame:
+    """A whole download of tab-separated tables, names in either case, converted to Parquet and
+    loaded; source codes are mapped by what came through."""
+    folder, nothing = fresh_folder(c.spark, "download"), empty_cdm(c.spark)
+    for number, table in enumerate(DOWNLOAD_TABLES):
+        rows = getattr(c, table) if table in VOCABULARY_TABLES else nothing[table]
+        dates = {n: F.date_format(n, "yyyyMMdd") for n in rows.columns if "_date" in n}
+        writer = rows.withColumns(dates).write.option("header", True).option("sep", "\t").option("quote", "")
+        writer.csv(f"{folder}/text/{table.upper() if number % 2 else table}.csv")
+    vocab_tsv_to_parquet(c.spark, f"{folder}/text", f"{folder}/bundle")
+    found = read_vocabulary(c.spark, f"{folder}/bundle")
+    return source_to_standard(found["concept"], found["concept_relationship"], c.source_to_concept_map)
+
+
 def _write_cdm(c: Chart) -> DataFrame:
     folder = fresh_folder(c.spark, "cdm")
     write_cdm({"person": c.person}, folder, overwrite=True)
@@ -422,6 +439,7 @@ QUERIES: dict[str, Callable[[Chart], DataFrame]] = {
     "read_source": _round_trip,
     "read_rejects": _rejects,
     "read_vocabulary": _vocabulary_text,
+    "vocabulary_download": _vocabulary_download,
     "write_cdm": _write_cdm,
     "table_rows": _table_rows,
     "run_etl": _files_to_cost,
