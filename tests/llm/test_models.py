@@ -18,7 +18,7 @@ import __spark_entry__ as driver
 from wardspan.llm import langid, warc
 from wardspan.llm.common import crc_of_id
 from wardspan.llm.lm import huffman, log10_paths, log10_words, score_texts, train, train_paths
-from wardspan.llm.neighbours import nearest
+from wardspan.llm.neighbours import lines, nearest
 from wardspan.llm.queries import op1_language_id, op2_nearest_neighbours
 from wardspan.runtime import fresh_folder
 
@@ -109,12 +109,25 @@ def test_nearest(spark):
 
 
 def test_recall_on_given_vectors(spark):
-    sf = "/root/testdata/sf0.01"
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
-    vectors = [(r.vec_id, np.array(r.embedding, np.float64)) for r in rows]
+    sf = "/root/testdata/sf0.1"
+    df = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+    vectors = [(r.vec_id, np.array(r.embedding, np.float64)) for r in df.collect()]
     want = plain_nearest(vectors, [v for v in vectors if v[0] % 50 == 0], 5)
-    got = {(r.query_id, r.vec_id) for r in op2_nearest_neighbours(spark, sf).collect()}
-    assert sum((q, i) in got for q, found in want.items() for _, i in found) >= 0.9 * 5 * len(want)
+    one = op2_nearest_neighbours(spark, sf).collect()
+    many = nearest(df, df.filter("vec_id % 50 = 0"), block=600, query_block=16).collect()
+    for rows in (one, many):
+        got = {(r.query_id, r.vec_id) for r in rows}
+        assert sum((q, i) in got for q, found in want.items() for _, i in found) >= 0.95 * 5 * len(want)
+        verified = {r.query_id: r.verified for r in rows}
+        assert sum(verified.values()) <= 0.2 * len(want) * len(vectors)
+
+
+def test_lines_are_orthogonal():
+    drawn = lines(16, 40)
+    assert drawn.shape == (40, 16)
+    for at in range(0, 40, 16):
+        basis = drawn[at : at + 16]
+        assert np.allclose(basis @ basis.T, np.eye(len(basis)))
 
 
 # LM scoring
