@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from proxies.registry import QUERIES, Chart
 from wardspan.operators import map_codes
+from wardspan.operators.mapping import frequent_codes
 from wardspan.plans import people, visits
 from wardspan.sources import read_source
 
@@ -75,3 +77,32 @@ def test_maps_are_broadcast_by_their_size(spark, limit, way):
     mapping = spark.range(50).selectExpr("string(id) AS code", "id AS target_concept_id")
     joined = map_codes(facts, mapping, max_bytes=limit)
     assert way in plan(joined) and joined.count() == 1000
+
+
+def test_frequent_codes_are_not_shuffled(spark):
+    """A third of the facts on one code, a third without any; the map has two targets for each code."""
+    drawn = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(F.concat(F.lit("c"), F.col("id")))
+    facts = spark.range(30_000).select("id", drawn.alias("code"))
+    targets = F.explode(F.sequence(F.lit(1), F.lit(2))).alias("target_concept_id")
+    mapping = facts.filter("code != 'c5'").select("code").distinct().select("code", targets)
+    assert frequent_codes(facts) == ["hot"]
+    assert frequent_codes(facts.limit(0)) == []
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for how, unmapped in (("inner", 0), ("left", 10_001)):
+            joined = map_codes(facts, mapping, how=how, max_bytes=0)
+            assert joined.columns == ["id", "code", "target_concept_id"]
+            assert joined.count() == 20_000 + 2 * 9_999 + unmapped
+            assert joined.filter("target_concept_id IS NULL").count() == unmapped
+            assert joined.distinct().count() == joined.count()
+            # The shuffled part alone: its partitions are even.
+            rare = joined.filter("code LIKE 'c%'").groupBy(F.spark_partition_id().alias("p")).count()
+            sizes = sorted(r["count"] for r in rare.collect())
+            assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+            text = plan(joined)
+            assert "BroadcastHashJoin" in text and "SortMergeJoin" in text
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    with pytest.raises(ValueError, match="inner or left"):
+        map_codes(facts, mapping, how="full")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardspan.runtime import BROADCAST_BYTES, broadcast_within
+from wardspan.runtime import BROADCAST_BYTES, broadcast_within, stage_measured
+
+# A code that has this share of the facts is joined apart from the others.
+FREQUENT = 1 / 500
 
 # The sixteen columns of both maps and where each comes from in a concept row.
 _SOURCE_SIDE = {
@@ -145,14 +150,39 @@ def map_codes(
     code: str = "code",
     how: str = "inner",
     max_bytes: int = BROADCAST_BYTES,
+    frequent_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join facts to a code map; a code with several targets gives several rows.
+    """Join facts to a code map, ``how`` "inner" or "left"; a code with several targets gives several
+    rows, and a null code has none.
 
-    The map is staged, and broadcast only if it takes at most ``max_bytes``. Codes may be skewed:
-    with a broadcast they are not shuffled at all, beyond it the adaptive skew join splits them.
+    The map is staged, and broadcast only if it takes at most ``max_bytes``; codes may be as skewed as
+    they like then, as facts are not shuffled at all. Beyond that ``frequent_codes`` reads the facts'
+    codes once, and facts of frequent or null codes meet the map of those codes by a broadcast (if it
+    takes at most ``frequent_bytes``); only the facts of the others are shuffled.
     """
-    keyed = broadcast_within(mapping.withColumnRenamed("code", "_code"), max_bytes)
-    return facts.join(keyed, F.col(code) == F.col("_code"), how).drop("_code")
+    if how not in ("inner", "left"):
+        raise ValueError(f"how: inner or left, not {how!r}")
+    side, size = stage_measured(mapping.withColumnRenamed("code", "_code"))
+
+    def joined(some: DataFrame, targets: DataFrame) -> DataFrame:
+        return some.join(targets, F.col(code) == F.col("_code"), how).drop("_code")
+
+    if size <= max_bytes:
+        return joined(facts, F.broadcast(side))
+    often = frequent_codes(facts, code)
+    apart = F.col(code).isNull() | F.col(code).isin(often)
+    common = broadcast_within(side.filter(F.col("_code").isin(often)), frequent_bytes)
+    rest = side.filter(~F.col("_code").isin(often)).hint("merge")
+    return joined(facts.filter(apart), common).unionByName(joined(facts.filter(~apart), rest))
+
+
+def frequent_codes(facts: DataFrame, code: str = "code", share: float = FREQUENT) -> list:
+    """Codes of at least about ``share`` of the rows, at most 1 / share of them, by a sketch that
+    combines before the shuffle. It is used to place rows, never to choose them, so that it may err."""
+    k = math.ceil(1 / share)
+    sketch = F.expr(f"approx_top_k(`{code}`, {k}, {16 * k})")
+    top, rows = facts.agg(sketch, F.count(F.lit(1))).first()
+    return [r["item"] for r in top if r["item"] is not None and r["count"] >= share * rows]
 
 
 def unmapped_codes(facts: DataFrame, mapping: DataFrame) -> DataFrame:

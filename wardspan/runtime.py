@@ -88,13 +88,19 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
         _RUN.reset(token)
 
 
+def stage_measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """Stage a narrow side and add up the bytes of its rows. Rows are measured, not files, as these
+    may be many times smaller."""
+    side = stage(df, "side")
+    lengths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    (size,) = side.agg(F.coalesce(F.sum(sum(lengths, F.lit(0))), F.lit(0))).first()
+    return side, size
+
+
 def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Stage a narrow side, and have it broadcast only if its rows take at most ``max_bytes``.
 
-    Beyond that the join is a shuffled one, in which the adaptive skew join splits hot keys. Rows
-    are measured, not files, as these may be many times smaller.
+    Beyond that the join is a shuffled one, in which the adaptive skew join splits hot keys.
     """
-    side = stage(df, "side")
-    lengths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
-    (size,) = side.agg(F.coalesce(F.sum(sum(lengths, F.lit(0))), F.lit(0))).first()
+    side, size = stage_measured(df)
     return F.broadcast(side) if size <= max_bytes else side.hint("merge")
