@@ -6,7 +6,8 @@ import random
 import pytest
 
 from tests.conftest import in_order, rows
-from wardspan.operators import interval_problems, island_ends, merge_intervals
+from wardspan.operators import interval_problems, intervals, island_ends, merge_intervals
+from wardspan.runtime import stage
 
 D0 = dt.date(2020, 1, 1)
 T0 = dt.datetime(2020, 1, 1)
@@ -143,6 +144,31 @@ def test_rows_that_end_before_they_start(spark):
     assert {(r.v, r.last) for r in ended} == {(v, day(2020, 1, 30)) for v in (1, 2, 4, 8, 16)}
 
 
+def test_moments_over_days_sums_and_ends(spark, monkeypatch):
+    """Islands that last for days, rows that end before they start in gaps and inside of them; one
+    table is written. The end of each row's island is the same by ``island_ends``."""
+    rng = random.Random(21)
+    data = []
+    for i in range(1500):
+        key = rng.choice(["hot", None, f"k{rng.randrange(20)}"])
+        lo = T0 + dt.timedelta(minutes=rng.randrange(60 * 1440))
+        length = rng.choice([-5000, -30, -30, 0, 3, 40, 900, 1440, 9000 if key != "hot" else 1])
+        data.append((key, lo, lo + dt.timedelta(minutes=length), i))
+    df = spark.createDataFrame(data, "k string, start timestamp_ntz, end timestamp_ntz, v long").repartition(5)
+    want, ends = [], []
+    for k in {row[0] for row in data}:
+        mine = [row for row in data if row[0] == k]
+        for lo, hi, _ in brute([(lo, hi) for _, lo, hi, _ in mine if hi >= lo], dt.timedelta(0)):
+            held = [v for _, a, _, v in mine if lo <= a <= hi]
+            want.append((k, lo, hi, len(held), sum(held)))
+            ends += [(v, hi) for v in held if k is not None]
+    written = []
+    monkeypatch.setattr(intervals, "stage", lambda d, label: written.append(label) or stage(d, label))
+    got = merge_intervals(df, ["k"], "start", "end", count_as="n", sums={"total": "v"})
+    assert rows(got) == sorted(want, key=in_order) and written == ["runs"]
+    assert rows(island_ends(df, ["k"], "start", "end", "reach", 0), "v", "reach") == sorted(ends) and written == ["runs"] * 2
+
+
 def test_moments_of_hot_and_null_keys_without_a_gap(spark):
     """Many distinct moments a day; some rows end before they start and stay where they are covered."""
     rng = random.Random(9)

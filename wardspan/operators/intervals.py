@@ -9,19 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardspan.functions import day_number, plus_days
-from wardspan.operators.scans import highest_before, total_upto
 from wardspan.runtime import stage
 
 _CELL, _ISLAND, _REACH = "_cell", "_island", "_reach"
+_DAY, _RUN, _ALONE = "_day", "_run", "_alone"
 
 
 def _cell(df: DataFrame, start: str, gap_days: int) -> Column:
     """Two valid intervals starting in one cell are never more than the gap apart, so they always
     belong together and may be folded before the rows of a key are brought into one place."""
+    if _by_moment(df, start, gap_days):
+        return F.col(start)
     if isinstance(df.schema[start].dataType, T.DateType):
         return F.floor(day_number(F.col(start)) / F.lit(gap_days + 1))
-    if gap_days == 0:
-        return F.col(start)
     return F.floor(day_number(F.col(start)) / F.lit(gap_days))
 
 
@@ -31,7 +31,7 @@ def _number_islands(
     """Cells, and rows without an end, in islands: the number and the end of each. A row without an
     end opens no island and reaches nowhere; it stays if the island before it covers its start."""
     kind = cells.schema[end].dataType
-    if gap_days == 0 and not isinstance(kind, T.DateType):
+    if _by_moment(cells, start, gap_days):
         return _number_by_day(cells, keys, start, end)
     # Cells come before such rows of the same start.
     ordered = Window.partitionBy(*keys).orderBy(start, F.col(end).isNull())
@@ -47,18 +47,56 @@ def _number_islands(
     return numbered.filter(F.col(start) <= F.col(_REACH))
 
 
+def _by_moment(df: DataFrame, start: str, gap_days: int) -> bool:
+    """Whether no cell can be given to the rows, so that their islands are found day by day."""
+    return gap_days == 0 and not isinstance(df.schema[start].dataType, T.DateType)
+
+
+def _day_runs(cells: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Moments without a gap, of which a key may have any number: the run of each among the rows that
+    start on its day. A row without an end that no row of its day covers is alone. Fields of structs
+    are equal if both are null, so a null key is a key here too."""
+    ordered = Window.partitionBy("_key", _DAY).orderBy(start, F.col(end).isNull())
+    reach = F.max(end).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = F.coalesce(F.col(start) <= F.col(_REACH), F.lit(False))
+    opens = F.col(end).isNotNull() & ~covered
+    alone = F.struct(F.when(F.col(end).isNull() & ~covered, F.col(start)).alias("at"))
+    return (
+        cells.withColumns({"_key": F.struct(*keys), _DAY: day_number(F.col(start))})
+        .withColumn(_REACH, reach)
+        .withColumns({_RUN: F.sum(opens.cast("long")).over(upto), _ALONE: alone})
+        .drop(_REACH)
+    )
+
+
+def _stitch(runs: DataFrame, start: str, end: str) -> DataFrame:
+    """Runs of days in islands, named by the moment that opens them. An island is carried into a day by
+    one summary row for each day before: how far they reach, and where the last one opened."""
+    known = F.when(F.col(end).isNotNull(), F.col(start))
+    before = Window.partitionBy("_key").orderBy(_DAY).rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.when(F.col(_REACH).isNull() | (F.col(_ISLAND) > F.col(_REACH)), F.col(_ISLAND))
+    days = (
+        runs.groupBy("_key", _DAY)
+        .agg(F.max(end).alias(_REACH), F.max(known).alias(_ISLAND))
+        .withColumn(_REACH, F.max(_REACH).over(before))
+        .withColumn(_ISLAND, opened)
+        .withColumn(_ISLAND, F.max(_ISLAND).over(before))
+    )
+    carried = F.col(start) <= F.col(_REACH)
+    island = F.when(carried, F.col(_ISLAND)).otherwise(known)
+    return runs.join(days, ["_key", _DAY]).withColumn(_ISLAND, island).drop(_REACH).filter(F.col(_ISLAND).isNotNull())
+
+
 def _number_by_day(cells: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """The same for moments without a gap, of which a key may have any number: reaches and numbers are
-    carried from day to day, so that a window sees one day of a key. Fields of structs are equal if
-    both are null, so a null key is a key here too."""
-    ordered = cells.withColumns({"_key": F.struct(*keys), "_late": F.col(end).isNull()})
-    reached = highest_before(stage(ordered, "cells"), ["_key"], start, "_late", end, _REACH)
-    opens = F.col(end).isNotNull() & (F.col(_REACH).isNull() | (F.col(start) > F.col(_REACH)))
-    opened = stage(reached.withColumn("_opens", opens.cast("long")).drop(_REACH), "opened")
-    numbered = stage(total_upto(opened, ["_key"], start, "_late", "_opens", _ISLAND), "islands")
-    ends = numbered.groupBy("_key", _ISLAND).agg(F.max(end).alias(_REACH))
-    found = numbered.join(ends, ["_key", _ISLAND]).filter(F.col(start) <= F.col(_REACH))
-    return found.drop("_key", "_late", "_opens")
+    """The cells of ``_number_islands`` for moments without a gap."""
+    one_run = ["_key", _DAY, _RUN, _ALONE]
+    numbered = stage(_day_runs(cells, keys, start, end), "runs")
+    runs = numbered.groupBy(*one_run).agg(F.min(start).alias(start), F.max(end).alias(end))
+    islands = _stitch(runs, start, end)
+    ends = islands.groupBy("_key", _ISLAND).agg(F.max(end).alias(_REACH))
+    found = islands.join(ends, ["_key", _ISLAND]).select(*one_run, _ISLAND, _REACH)
+    return numbered.join(found, one_run).drop(*one_run)
 
 
 def valid_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -92,8 +130,8 @@ def merge_intervals(
     key or copied rows shrink before any shuffle, and no window sees more rows of a key than there
     are cells in the time covered (36,525 days a century for dates without a gap, 1,179 cells for
     30 days). The island window and the final grouping share one exchange by key. Timestamps
-    without a gap have no such cells; their islands are found day by day, and cells are staged for
-    that when this is called.
+    without a gap have no such cells: they are folded to the runs of a day, which are staged when
+    this is called, and stitched over days by one summary row a day.
     """
     sums = dict(sums or {})
     parts = [F.count(F.lit(1)).alias("_n")] if count_as else []
@@ -109,9 +147,17 @@ def merge_intervals(
     folded = folded.unionByName(points)
     totals = [F.sum("_n").alias(count_as)] if count_as else []
     totals += [F.sum(f"_sum_{out}").alias(out) for out in sums]
+    if _by_moment(df, start, gap_days):
+        runs = _day_runs(folded, keys, start, end).groupBy("_key", _DAY, _RUN, _ALONE)
+        held = ["_n"] if count_as else []
+        held += [f"_sum_{out}" for out in sums]
+        held = [F.sum(c).cast(folded.schema[c].dataType).alias(c) for c in held]
+        runs = stage(runs.agg(F.min(start).alias(start), F.max(end).alias(end), *held), "runs")
+        numbered = _stitch(runs, start, end).select("*", *[F.col("_key")[k].alias(k) for k in keys])
+    else:
+        numbered = _number_islands(folded, keys, start, end, gap_days)
     return (
-        _number_islands(folded, keys, start, end, gap_days)
-        .groupBy(*keys, _ISLAND)
+        numbered.groupBy(*keys, _ISLAND)
         .agg(F.min(start).alias(start), F.max(end).alias(end), *totals)
         .drop(_ISLAND)
     )

@@ -40,27 +40,6 @@ def previous_value(
     )
 
 
-def total_upto(
-    df: DataFrame, keys: Sequence[str], time: str, tie: str, value: str, out: str
-) -> DataFrame:
-    """Sum of ``value`` over the rows of the key up to this one by (time, tie)."""
-    blocked = df.withColumn(_BLOCK, day_number(F.col(time)))
-    until = Window.unboundedPreceding
-    within = Window.partitionBy(*keys, _BLOCK).orderBy(time, tie).rowsBetween(until, 0)
-    across = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(until, -1)
-    carried = (
-        blocked.groupBy(*keys, _BLOCK)
-        .agg(F.sum(value).alias("_all"))
-        .select(*keys, _BLOCK, F.sum("_all").over(across).alias(_CARRY))
-    )
-    return (
-        blocked.withColumn(_LOCAL, F.sum(value).over(within))
-        .join(carried, [*keys, _BLOCK], "left")
-        .withColumn(out, F.col(_LOCAL) + F.coalesce(_CARRY, F.lit(0)))
-        .drop(_LOCAL, _CARRY, _BLOCK)
-    )
-
-
 def highest_before(
     df: DataFrame, keys: Sequence[str], time: str, tie: str, value: str, out: str
 ) -> DataFrame:
