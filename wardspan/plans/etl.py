@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 from collections.abc import Callable, Container, Iterable
@@ -12,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from wardspan.operators import empty_table, source_to_source, source_to_standard, tag_copies
+from wardspan.operators.checks import observe_not_null
 from wardspan.plans import cost as costs
 from wardspan.plans import eras, events, people, visits
 from wardspan.plans.codes import CLASSES, VisitClasses
@@ -29,6 +31,7 @@ from wardspan.sources.tables import (
     read_cdm,
     read_source_lenient,
     read_sources,
+    read_text,
     read_vocabulary,
     write_table,
     write_text,
@@ -80,6 +83,7 @@ class Build:
     classes: VisitClasses = CLASSES
     work: dict[str, DataFrame] = field(default_factory=dict)
     done: dict[str, DataFrame] = field(default_factory=dict)
+    nulls: dict[str, dict[str, int]] = field(default_factory=dict)  # by finished table and column
     hold: Callable[[DataFrame, str], DataFrame] = stage  # stores a work table
 
 
@@ -240,7 +244,8 @@ def run_etl(
 ) -> list[StepResult]:
     """Build every CDM table from files and write it to ``out``, as Parquet or, with ``layout``
     "tsv", as tab-separated text. With ``report`` the quality report of sources and tables is
-    written to that folder as Parquet, in place of an older one.
+    written to that folder as Parquet, in place of an older one; its counts of NULLs are taken while
+    tables are written.
 
     Each table is written once and read back by the steps that need it, so a lost executor costs
     only its tasks. Tables that no step fills are written empty.
@@ -291,11 +296,13 @@ def run_etl(
     finished = _done_before(spark, building, build) if resume else []
 
     def keep(name: str, table: DataFrame) -> DataFrame:
-        write_table(table, building, name)
+        counted, seen = observe_not_null(table, CDM[name])
+        write_table(counted, building, name)
+        build.nulls[name] = seen.get if counted is not table else {}
         return read_cdm(spark, building, name)
 
     def note(step: str) -> None:
-        write_text(spark, f"{building}/{DONE}/{step}", inputs)
+        write_text(spark, f"{building}/{DONE}/{step}", json.dumps(build.nulls.get(step, {})))
 
     with scratch_run(spark):
         for empty in CDM.keys() - STEPS.keys():
@@ -303,7 +310,7 @@ def run_etl(
         results = build_tables(build, keep, steps, keep_going, finished, note)
         checked = None
         if report and "standard" in build.work:
-            checked = quality_report(source, build.work["standard"], build.done)
+            checked = quality_report(source, build.work["standard"], build.done, build.nulls)
             checked = stage(checked.unionByName(hidden_report(source["encounters"], classes)), "report")
         if layout != "parquet":
             for table in [*build.done, *(CDM.keys() - STEPS.keys())]:
@@ -337,4 +344,5 @@ def _done_before(spark: SparkSession, building: str, build: Build) -> list[str]:
             build.work[label] = spark.read.parquet(f"{building}/work/{label}.parquet")
         if step not in WORK:
             build.done[step] = read_cdm(spark, building, step)
+            build.nulls[step] = json.loads(read_text(spark, f"{building}/{DONE}/{step}"))
     return steps
