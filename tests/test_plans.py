@@ -106,3 +106,10 @@ def test_frequent_codes_are_not_shuffled(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     with pytest.raises(ValueError, match="inner or left"):
         map_codes(facts, mapping, how="full")
+
+
+def test_concepts_are_not_broadcast(spark):
+    """Their files are small and their rows are not."""
+    for name in ("source_to_standard", "source_to_source"):
+        text = plan(QUERIES[name](Chart(spark, SMALL)))
+        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
