@@ -160,3 +160,20 @@ def test_pick_best_puts_nulls_last(spark):
         [("a", None, 1), ("a", 5, 2), ("a", 5, 3), ("b", None, 4)], "k string, p int, i int"
     )
     assert rows(pick_best(df, ["k"], ["p", "i"])) == [("a", 5, 2), ("b", None, 4)]
+
+
+def test_no_task_reads_the_base_of_a_sample(spark, tmp_path, monkeypatch):
+    """The sample is drawn where the rows lie, and only then sorted in one place."""
+    spark.range(0, 100_000, 1, 8).selectExpr("id AS a", "cast(id AS string) AS b").write.parquet(str(tmp_path / "t"))
+    kind, plans = type(spark.range(0)), []
+    collect = kind.collect
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(kind, "collect", noted)
+    found = ranges.cut_ranges([Like(spark.read.parquet(str(tmp_path / "t")))], ["a", "b"], 4)
+    assert found.count == 4
+    (drawn,) = [p for p in plans if "Sample" in p]
+    assert "Coalesce" not in drawn and drawn.index("Exchange") < drawn.index("Sample")
