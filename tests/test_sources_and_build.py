@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from proxies.registry import DAY, DESCRIBE, VOCABULARY_TABLES, Chart
 from tests.conftest import rows
+from wardspan import runtime
 from wardspan.operators import COPY
 from wardspan.plans import etl, quality
 from wardspan.schemas import CDM, SOURCE, VOCABULARY
@@ -240,3 +241,28 @@ def test_incomplete_vocabulary(spark, tmp_path, gone):
         spark.createDataFrame([], VOCABULARY[table]).write.parquet(str(tmp_path / f"{table}.parquet"))
     with pytest.raises(FileNotFoundError, match=gone):
         read_vocabulary(spark, str(tmp_path))
+
+
+def test_a_step_leaves_nothing_staged(spark, shared_folder, tmp_path):
+    """What a step staged is gone when it is done; what it made is not."""
+    chart = Chart(spark, "/root/testdata/sf0.001")
+    build = etl.Build(source={t: getattr(chart, t) for t in ("patients", "providers")}, vocabulary={})
+    staged = lambda: {p for p in Path(shared_folder).rglob("run-*/*")}
+    before, during, after = staged(), [], []
+
+    def keep(name, table):
+        during.append(staged() - before)
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+        return spark.read.parquet(f"{tmp_path}/{name}.parquet")
+
+    etl.build_tables(build, keep, ["person", "provider"], note=lambda s: after.append(staged() - before), clean=True)
+    assert all(during) and after == [set(), set()]
+    assert build.done["person"].count() == 135 and build.done["provider"].count()
+
+
+def test_shuffles_go_only_meanwhile(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with runtime.shuffles_removed(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
