@@ -201,6 +201,25 @@ def test_paths(spark):
     assert log10_paths([[b"a", b"b"]], model)[0] > log10_paths([[b"b", b"a"]], model)[0]
 
 
+def test_every_text_and_word_teaches(spark, monkeypatch):
+    """The weights are learned from all there is, however much that is said to be; a copy adds nothing."""
+    from wardspan.llm import lm
+
+    taught, learned = [], lm._learned
+
+    def noted(rows, *more):
+        taught.append(sorted(r[1] for r in rows.collect()))
+        return learned(rows, *more)
+
+    monkeypatch.setattr(lm, "_learned", noted)
+    texts = [f"a b c{i}" for i in range(300)]
+    rows = spark.createDataFrame([(t, False) for t in texts * 2], "text string, held_out boolean")
+    train_paths(rows, huffman([b"a", b"b"], [1, 1, 600, 600]), 1_000_000_000)
+    train(spark.createDataFrame([(t.split()[-1], 2) for t in texts], "word string, n long"), 1_000_000_000)
+    assert taught == [sorted(texts), sorted(t.split()[-1] for t in texts)]
+    assert (lm.buckets(0, 10), lm.buckets(501, 10), lm.buckets(1 << 40, 10)) == (16, 51, 128)
+
+
 def test_long_text_in_pieces(spark, monkeypatch):
     """Contexts go on over the pieces that a long text is worked on in."""
     from wardspan.llm import lm

@@ -16,8 +16,8 @@ whole vocabulary, so it is mixed with the word's share among the escaped trainin
 
 Bits are counted over all training texts and words, in tables whose size follows from the number of
 training words and distinct words, up to a bound. The weights and the adaptive map, a few thousand
-numbers, are learned from texts and words drawn by their hash, in an order that the hash gives, with
-one occurrence of the word at hand taken out of the counts. So scores do not depend on how rows are
+numbers, are learned from all training texts and words, each different one once, in buckets and in an
+order that their hash gives, with one occurrence of the word at hand taken out of the counts. So scores do not depend on how rows are
 dealt to tasks. Texts get the scores of frequent words from a table of fixed size that travels with
 the tasks, and those of all other words by a join.
 """
@@ -52,8 +52,8 @@ END = ""  # stands for the end of a text, as no word is empty
 LEARN = 0.3  # rate of the mixers
 WORDS_A_TASK, TOKENS_A_TASK = 1_000_000, 16_000_000  # for one set of tables
 TASKS = 8  # at least
-LEARN_WORDS, LEARN_TOKENS = 200_000, 2_000_000  # drawn by hash for the weights, about
-BUCKETS = 16  # of them that learn side by side
+BUCKETS = (16, 128)  # least and most that learn side by side
+BUCKET_WORDS, BUCKET_TOKENS = 100_000, 1_000_000  # that one of them should hold
 CODED = 16_384  # frequent words that have a path
 OWN_CONTEXT = 4096  # of them that are contexts by rank; the others by their last two bytes
 ENDINGS = 1024  # classes of last bytes
@@ -229,19 +229,24 @@ class Mixer:
         )
 
 
-def _learned(drawn: DataFrame, run: Callable, gates: int, inputs: int, maps: int, start: float):
+def buckets(rows: int, each: int) -> int:
+    """How many buckets learn side by side, between the bounds."""
+    return min(max(-(-rows // each), BUCKETS[0]), BUCKETS[1])
+
+
+def _learned(taught: DataFrame, side_by_side: int, run: Callable, gates: int, inputs: int, maps: int, start: float):
     """Weights averaged over the buckets by what each has seen, and the adaptive map of all.
 
-    ``drawn`` (order, ...) is dealt into buckets by ``order`` and sorted in each, so that neither
+    ``taught`` (order, ...) is dealt into buckets by ``order`` and sorted in each, so that neither
     depends on where the rows lay."""
-    dealt = drawn.withColumn("bucket", F.pmod("order", F.lit(BUCKETS))).repartition(BUCKETS, "bucket")
-    states = dealt.sortWithinPartitions("bucket", *drawn.columns).mapInArrow(
+    dealt = taught.withColumn("bucket", F.pmod("order", F.lit(side_by_side))).repartition(side_by_side, "bucket")
+    states = dealt.sortWithinPartitions("bucket", *taught.columns).mapInArrow(
         run, "bucket long, weights binary, seen binary, map binary"
     )
     total, sums = np.full((gates, 1), 1e-9), np.full((gates, inputs), 1e-9 * start)
     centres = squash((np.arange(STEPS) / (STEPS - 1) * 2 - 1) * LIMIT)
     observed = np.stack([np.tile(1 - centres, maps), np.tile(centres, maps)]) * 4  # as if seen so often
-    for row in sorted(states.collect(), key=lambda r: r.bucket):  # BUCKETS rows
+    for row in sorted(states.collect(), key=lambda r: r.bucket):  # a row a bucket
         seen = np.frombuffer(bytes(row.seen), np.float64)[:, None]
         sums += seen * np.frombuffer(bytes(row.weights), np.float64).reshape(sums.shape)
         total += seen
@@ -328,18 +333,12 @@ def train(vocabulary: DataFrame, words: int) -> Model:
     pages = known.coalesce(max(TASKS, words // WORDS_A_TASK)).mapInArrow(_count_bits(slots), "page long, data binary")
     tables = _gather(pages, PREDICTORS, slots)
     order = F.xxhash64("word").alias("order")
-    drawn = known.select(order, "word", "n").filter(_drawn(LEARN_WORDS, words))
-    weights, refined = _learned(drawn, _learn(tables), GATES, PREDICTORS + 1, NODES, 1 / 3)
+    taught, count = known.select(order, "word", "n"), buckets(words, BUCKET_WORDS)
+    weights, refined = _learned(taught, count, _learn(tables), GATES, PREDICTORS + 1, NODES, 1 / 3)
     stretched = np.log((tables[..., 1] + PRIOR) / (tables[..., 0] + PRIOR))
     return Model(stretched.astype(np.float16), tables.sum(axis=2) > 0, weights, refined)
 
 
-def _drawn(wanted: int, of: int) -> Column:
-    """About ``wanted`` of ``of`` rows, by other bits of ``order`` than those that choose a bucket."""
-    share = min(1.0, wanted / max(of, 1))
-    return F.pmod(F.shiftright("order", 8), F.lit(1_000_000)) < int(np.ceil(share * 1_000_000))
-
-
 def _score_words(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, _, rows in _batches(batches, 1 << 16):
@@ -554,8 +553,9 @@ def train_paths(rows: DataFrame, paths: Paths, tokens: int) -> PathModel:
     )
     tables = _gather(pages, 2, slots)
     order = F.xxhash64("text").alias("order")
-    drawn = texts.filter("text IS NOT NULL").select(order, "text").filter(_drawn(LEARN_TOKENS, tokens)).distinct()
-    weights, refined = _learned(drawn, _learn_paths(paths, tables), PATH_GATES, 4, PATH_GATES, 1 / 3)
+    taught = texts.filter("text IS NOT NULL").select(order, "text").distinct()
+    count = buckets(tokens, BUCKET_TOKENS)
+    weights, refined = _learned(taught, count, _learn_paths(paths, tables), PATH_GATES, 4, PATH_GATES, 1 / 3)
     return PathModel(paths, tables, weights, refined)
 
 
