@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from wardspan.llm.chat import chat_digest, escape, format_chats, read_turns, unescape
 from wardspan.llm.decontamination import decontaminate, mark_contamination
-from wardspan.llm.linededup import dedup_lines
+from wardspan.llm import linededup
+from wardspan.llm.linededup import dedup_lines, suffix_array
 from wardspan.llm.mixing import chance, mix
 from wardspan.llm.sharding import RING, bounds, deal, ring_points, shard
 
@@ -201,6 +202,28 @@ def test_lines(spark, least):
     assert dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_suffix_array_is_finished(spark, monkeypatch):
+    """Runs far longer than ``least`` words are told apart too, copies in blocks of the scan included."""
+    monkeypatch.setattr(linededup, "_BLOCK", 4)
+    rng = random.Random(3)
+    long = [rng.choice("ab") for _ in range(70)]
+    docs = [long, [*long, "c"], ["x", *long], ["a"] * 40, ["a"] * 33, [*long[:50], "y"], ["a"], [], ["z", "a"], ["a", "c"], ["a", "w"]]
+    places = [(d, p, (False, d), bytes([ord(x)]), 2 if p + 1 < len(doc) else None) for d, doc in enumerate(docs) for p, x in enumerate(doc)]
+    schema = "row long, pos long, first struct<n: boolean, d: long>, line binary, length long"
+    got = suffix_array(spark.createDataFrame(places, schema).repartition(3), 2).orderBy("at").collect()
+    often = Counter(x for doc in docs for x in doc)
+
+    def suffix(place):
+        d, p = place
+        return [(0, x) if often[x] > 1 else (1, d, q) for q, x in enumerate(docs[d][p:], p)], d, p
+
+    assert [(r["row"], r["pos"]) for r in got] == sorted(((d, p) for d, p, *_ in places), key=suffix)
+    assert [r["at"] for r in got] == list(range(1, len(places) + 1))
+    texts = ["\n".join(doc) for doc in docs]
+    found = dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2).orderBy("doc_id")
+    assert [r.text for r in found.collect()] == plain_dedup(texts, 2)
+
+
 # Sharding
 
 
