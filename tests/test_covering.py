@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from proxies import registry
 from tests.conftest import rows
 from wardspan.operators import containment_join, earliest_cover, ranges
 from wardspan.operators.covering import cut_spans, shared_level
@@ -132,3 +133,23 @@ def test_one_date_far_off(spark, how):
     got = containment_join(p, q, ["k"], "at", "lo", "hi", how)
     assert got.columns == ["k", "at", "i", "lo", "hi", "s"]
     assert rows(got, "i", "s") == sorted(want, key=lambda r: (r[0], r[1] is None, r[1] or 0))
+
+
+def test_ranges_of_cover_count_points_and_spans(spark, tmp_path, monkeypatch):
+    """Were only the orders counted, a range would hold as many more rows as an order has lines."""
+    orders = spark.createDataFrame([(i, i % 3, dt.datetime(2020, 1, 1 + i)) for i in range(9)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz")
+    lines = [(i, n, 5, 7, dt.datetime(2020, 1, 2 + i, n)) for i in range(9) for n in range(6)]
+    lines = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp_ntz")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen = []
+
+    def cover(points, spans, key, at, kinds, exact, like):
+        seen.extend(like)
+        return earliest_cover(points, spans, key, at, kinds, exact, like)
+
+    monkeypatch.setattr(registry, "earliest_cover", cover)
+    assert registry.QUERIES["earliest_cover"](registry.Chart(spark, str(tmp_path))).count() == 54
+    assert sum(one.base.count() for one in seen) == 9 + 54
+    drawn = [rows(one.through(one.base), "o_custkey", "l_shipdate") for one in seen]
+    assert drawn[1] == rows(lines.selectExpr("l_orderkey % 3 AS o_custkey", "l_shipdate"))
