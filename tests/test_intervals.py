@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 
 from tests.conftest import in_order, rows
+from tests.test_plans import plan
+from wardspan import runtime
 from wardspan.operators import interval_problems, intervals, island_ends, merge_intervals
 from wardspan.runtime import stage
 
@@ -185,3 +188,15 @@ def test_moments_of_hot_and_null_keys_without_a_gap(spark):
             want.append((k, lo, hi, n + sum(a > b and lo <= a <= hi for a, b in mine)))
     schema = "k string, start timestamp_ntz, end timestamp_ntz"
     assert merged(spark, data, 0, schema) == sorted(want, key=in_order)
+
+
+@pytest.mark.parametrize("known, parts", [(None, 4), (12, 4), (60, 12)])
+def test_islands_of_many_rows_take_more_partitions(spark, monkeypatch, known, parts):
+    """The session has 4; with 60 rows and 5 a task there are 12, by key, and the islands are the same."""
+    monkeypatch.setattr(runtime, "SORT_ROWS", 5)
+    days = [(k or None, day(5 * i), day(5 * i + 1)) for k in range(4) for i in range(15)]
+    df = spark.createDataFrame(days, "k int, start date, end date")
+    islands = merge_intervals(df, ["k"], "start", "end", 5, count_as="n", rows=known)
+    found = re.findall(r"hashpartitioning\(k#\d+, (\d+)\), (REPARTITION_BY_NUM|ENSURE_REQUIREMENTS)", plan(islands))
+    assert found[0] == (str(parts), "REPARTITION_BY_NUM" if parts > 4 else "ENSURE_REQUIREMENTS")
+    assert rows(islands, "k", "n") == [(1, 15), (2, 15), (3, 15), (None, 15)]
