@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from proxies import registry
 from tests.conftest import rows
-from wardspan.operators import containment_join, earliest_cover, ranges
+from wardspan import runtime
+from wardspan.operators import containment_join, covering, earliest_cover, ranges
 from wardspan.operators.covering import cut_spans, shared_level
 
 D0, T0 = dt.date(2020, 1, 1), dt.datetime(2020, 1, 1)
@@ -153,3 +154,29 @@ def test_ranges_of_cover_count_points_and_spans(spark, tmp_path, monkeypatch):
     assert sum(one.base.count() for one in seen) == 9 + 54
     drawn = [rows(one.through(one.base), "o_custkey", "l_shipdate") for one in seen]
     assert drawn[1] == rows(lines.selectExpr("l_orderkey % 3 AS o_custkey", "l_shipdate"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_containment_of_many_rows_takes_more_partitions(spark, monkeypatch, how):
+    """Before, a task sorted the more rows the more there were, as the session's partitions stayed."""
+    setting, given, staged = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"), []
+    write = covering.stage
+
+    def seen(df, label):
+        staged.append(int(spark.conf.get(setting)))
+        return write(df, label)
+
+    monkeypatch.setattr(runtime, "JOIN_ROWS", 10)
+    monkeypatch.setattr(covering, "stage", seen)
+    points = [(i % 3, D0 + dt.timedelta(days=i % 50), i) for i in range(200)]
+    spans = [(k, D0 + dt.timedelta(days=5 * s), D0 + dt.timedelta(days=5 * s + 7), s) for k in range(2) for s in range(8)]
+    want = []
+    for k, at, i in points:
+        hits = [(i, s) for kk, lo, hi, s in spans if kk == k and lo <= at <= hi]
+        want += hits or ([(i, None)] if how == "left" else [])
+    p = spark.createDataFrame(points, "k int, at date, i int")
+    q = spark.createDataFrame(spans, "k int, lo date, hi date, s int")
+    got = containment_join(p, q, ["k"], "at", "lo", "hi", how)
+    assert rows(got, "i", "s") == sorted(want, key=lambda r: (r[0], r[1] is None, r[1] or 0))
+    assert staged and staged[0] >= 20 and staged[0] > int(given)
+    assert spark.conf.get(setting) == given
