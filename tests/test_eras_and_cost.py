@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from proxies import registry
 from tests.conftest import rows
 from wardspan.operators import conform
 from wardspan.plans import cost as costs
@@ -207,3 +208,34 @@ def test_plan_periods(spark):
     out = costs.payer_plan_period(payers, moves, person)
     names = ["payer_plan_period_id", "person_id", "payer_plan_period_start_date", "plan_source_value"]
     assert rows(out, *names) == [(1, 9, day(0), "One"), (2, 9, day(400), "One")]
+
+
+def test_amounts_of_codes_without_events_go_before_any_shuffle(bill, spark, monkeypatch):
+    facts = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", 4)], "code string, n int")
+    events = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "code string")
+    kept = costs._of_codes(facts, events)
+    assert rows(kept, "code", "n") == [("a", 1), ("a", 4)]
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(costs, "BROADCAST_BYTES", 0)
+    assert costs._of_codes(facts, events).count() == 4
+
+
+def test_order_lines_are_joined_once(spark, tmp_path):
+    """Before, each source table of order lines held the join, and was read several times."""
+    orders = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"
+    lines = (
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    day0 = dt.datetime(2020, 1, 1)
+    order_rows = [(1, 5, day0), (2, None, None), (None, 6, day0)]
+    line_rows = [(k, n, 7, 3, 2.0, 9.5, 0.0, 0.0, "R", "O", day0) for k in (1, 2, 3, None) for n in (1, 1)]
+    spark.createDataFrame(order_rows, orders).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(line_rows, lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(3,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    chart = registry.Chart(spark, str(tmp_path))
+    for table, n in (("conditions", 4), ("immunizations", 4), ("claims", 4), ("claims_transactions", 12)):
+        got = getattr(chart, table)
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == n
+    assert rows(chart.conditions, "patient", "encounter") == [("p5", "e1")] * 2 + [(None, "e2")] * 2
