@@ -10,6 +10,7 @@ from tests.conftest import rows
 from wardspan.operators import conform
 from wardspan.plans import cost as costs
 from wardspan.plans import eras
+from wardspan.runtime import stage
 from wardspan.schemas import CDM, SOURCE, VOCABULARY
 
 D0 = dt.date(2020, 1, 1)
@@ -220,6 +221,43 @@ def test_amounts_of_codes_without_events_go_before_any_shuffle(bill, spark, monk
     assert costs._of_codes(facts, events).count() == 4
 
 
+def test_many_codes_are_broadcast_as_bits(spark):
+    """Before, the codes themselves were broadcast, which took the driver over 100 bytes for each."""
+    events = spark.range(20_000).selectExpr("concat('c', id) AS code")
+    facts = spark.range(40_000).selectExpr("concat('c', id) AS code", "id")
+    kept = costs._of_codes(facts, events)
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.filter("id < 20000").count() == 20_000
+    assert kept.count() < 21_000
+    (words,) = costs._code_bits(events, 1 << 10).selectExpr("size(_words)").first()
+    assert words == 1 << 10
+
+
+def test_cost_holds_the_shuffles_of_one_leg(bill, spark, monkeypatch):
+    """Before, the legs were one query, and their shuffle files stayed after it."""
+    seen, setting = [], "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def noted(df, label):
+        seen.append((label, spark.conf.get(setting, "false"), float(spark.conf.get("spark.sql.sources.fileCompressionFactor"))))
+        return stage(df, label)
+
+    monkeypatch.setattr(costs, "stage", noted)
+    before = spark.conf.get(setting, None)
+    assert costs.cost(**bill).count() == 7
+    assert [label for label, *_ in seen].count("priced") == 4
+    assert {row[1:] for row in seen} == {("true", 6.0)}
+    assert spark.conf.get(setting, None) == before
+
+
+def test_a_claim_with_several_payments_and_repeated_conditions(bill, spark):
+    """Two claims of a diagnosis, one of them without a payment by the patient; the condition noted twice."""
+    found = costs.cost(**bill | {
+        "conditions": bill["conditions"].unionByName(bill["conditions"]),
+        "claims": bill["claims"].unionByName(bill["claims"]),
+    }).filter("cost_domain_id = 'Condition'")
+    assert {tuple(map(int, r)) for r in found.select("paid_by_payer", "paid_by_patient").collect()} == {(48, 8)}
+
+
 def test_order_lines_are_joined_once(spark, tmp_path):
     """Before, each source table of order lines held the join, and was read several times."""
     orders = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"
