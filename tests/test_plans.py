@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from proxies.registry import QUERIES, Chart
 from wardspan.operators import map_codes
 from wardspan.operators.mapping import frequent_codes
-from wardspan.plans import people, visits
+from wardspan.plans import etl, people, visits
+from wardspan.runtime import real_sizes
 from wardspan.sources import read_source
 
 SMALL = "/root/testdata/sf0.001"
@@ -113,3 +114,30 @@ def test_concepts_are_not_broadcast(spark):
     for name in ("source_to_standard", "source_to_source"):
         text = plan(QUERIES[name](Chart(spark, SMALL)))
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
+def test_small_files_of_many_rows_are_not_broadcast_in_a_build(spark, tmp_path, monkeypatch):
+    """Files of persons are small for their rows. Spark goes by files, and had the driver hold them all."""
+    persons = spark.range(60_000).selectExpr("id AS person_id", "concat('p', id % 100) AS patient")
+    persons.write.parquet(f"{tmp_path}/person.parquet")
+    facts = spark.range(200_000).selectExpr("concat('p', id) AS patient")
+    size = sum(f.stat().st_size for f in (tmp_path / "person.parquet").glob("*.parquet"))
+
+    def joined():
+        return plan(facts.join(spark.read.parquet(f"{tmp_path}/person.parquet"), "patient"))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(size * 2))
+    try:
+        assert "BroadcastHashJoin" in joined()
+        with real_sizes(spark):
+            assert "BroadcastHashJoin" not in joined()
+        assert "BroadcastHashJoin" in joined()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+    seen = []
+    monkeypatch.setitem(etl.STEPS, "person", lambda b: seen.append(float(spark.conf.get("spark.sql.sources.fileCompressionFactor"))))
+    monkeypatch.setattr("proxies.registry.build_tables", lambda b, keep, **k: etl.build_tables(b, keep, ["person", "cdm_source"], **k))
+    assert QUERIES["table_rows"](Chart(spark, SMALL)).count() == 1
+    assert seen == [6]
