@@ -210,6 +210,34 @@ def test_downloaded_vocabulary(spark, tmp_path):
     assert vocabulary["concept"].count() == 1 and vocabulary["domain"].count() == 0
 
 
+def test_text_that_several_steps_read_is_parsed_once(spark, tmp_path):
+    """Before, each step parsed conditions anew, several times over. A row that does not fit still fails
+    only the steps that read its column."""
+    head = "START,STOP,PATIENT,ENCOUNTER,CODE"
+    (tmp_path / "conditions.csv").write_text(f"{head}\n2020-01-01,,p,e,c\n2020-01-01,,p,e,c\n")
+    (tmp_path / "claims.csv").write_text("ID\nc1\n")
+    texts, made = read_sources(spark, str(tmp_path), ["conditions", "claims"]), []
+
+    def parse(table, name):
+        made.append(name)
+        return runtime.stage(table, name)
+
+    source = etl.Sources(texts, etl.PARSED_ONCE, parse)
+    assert source["claims"] is texts["claims"] and made == []
+    scans = [source["conditions"]._jdf.queryExecution().executedPlan().toString() for _ in range(2)]
+    assert made == ["conditions"] and all("Scan parquet" in s for s in scans)
+    assert rows(source["conditions"]) == rows(texts["conditions"])
+
+    (tmp_path / "conditions.csv").write_text(f"{head}\n2020-01-01,never,p,e,c\n")
+    texts = read_sources(spark, str(tmp_path), ["conditions"])
+    source = etl.Sources(texts, etl.PARSED_ONCE, parse)
+    assert source["conditions"] is texts["conditions"] and source["conditions"] is texts["conditions"]
+    assert made == ["conditions"] * 2
+    assert rows(source["conditions"], "code") == [("c",)]
+    with pytest.raises(Exception, match="never"):
+        source["conditions"].select("stop").collect()
+
+
 def test_failing_steps(spark):
     build = etl.Build(source={}, vocabulary={})
     with pytest.raises(KeyError):
